@@ -94,6 +94,41 @@ def global_rank(df: DataFrame, keys: Sequence[Column], into: str = "rank") -> Da
     return ordered(df, keys).ranked(into)
 
 
+def rank_within(df: DataFrame, group: str, keys: Sequence[Column], into: str = "rn") -> DataFrame:
+    """ROW_NUMBER per group for every row, also where one group holds a large part of all rows.
+
+    A plain ``row_number().over(partitionBy(group))`` gives each group to one task. Here a large
+    group is cut over several ranges; a range then only needs to know how many rows of its first
+    group lie in earlier ranges. (To pick only the first few rows per group, a plain window with
+    a filter is enough: Spark then limits each group before the shuffle.)
+    """
+    placed = ordered(df, [F.col(group).asc(), *keys])
+    slots = placed.slots().select(SLOT, "_rows_before")
+    starts = placed.rows.groupBy(SLOT, group).agg(F.min(POSITION).alias("_first"))
+    # per range its first and its last group: at most two rows per shuffle partition
+    edges = (
+        starts.groupBy(SLOT)
+        .agg(F.min_by(F.struct(group, "_first"), "_first").alias("_head"), F.max_by(F.struct(group, "_first"), "_first").alias("_tail"))
+        .join(F.broadcast(slots), SLOT)
+        .select(SLOT, "_rows_before", F.explode(F.array("_head", "_tail")).alias("_edge"))
+        .select(SLOT, "_rows_before", "_edge.*")
+    )
+    begun = F.min(F.col("_rows_before") + F.col("_first")).over(W.partitionBy(group))
+    carried = (
+        edges.withColumn("_earlier", F.col("_rows_before") - begun)
+        .filter((F.col("_first") == 0) & (F.col("_earlier") > 0))
+        .select(SLOT, group, "_earlier")
+        .distinct()
+    )
+    inside = F.row_number().over(W.partitionBy(SLOT, group).orderBy(POSITION))
+    return (
+        placed.rows.withColumn("_inside", inside)
+        .join(F.broadcast(carried), [SLOT, group], "left")
+        .withColumn(into, F.col("_inside") + F.coalesce(F.col("_earlier"), F.lit(0)))
+        .drop(SLOT, POSITION, "_inside", "_earlier")
+    )
+
+
 def ntile(rank: Column, rows: Column, tiles: int) -> Column:
     """NTILE from a 1-based rank and the row count: the first ``rows % tiles`` tiles hold one more."""
     small = F.call_function("div", rows, F.lit(tiles))
