@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from patronage.catalog import analyses, checks, oracle_analyses, oracle_checks
+from patronage.catalog import analyses, blocks, checks, oracle_analyses, oracle_blocks, oracle_checks
 from patronage.catalog.present import plain
 from patronage.sources.binding import BoundTables
 
-_QUERIES = {**analyses.QUERIES, **checks.QUERIES}
-_ORACLE = {**oracle_analyses.ORACLE, **oracle_checks.ORACLE}
+_QUERIES = {**analyses.QUERIES, **checks.QUERIES, **blocks.QUERIES}
+_ORACLE = {**oracle_analyses.ORACLE, **oracle_checks.ORACLE, **oracle_blocks.ORACLE}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
