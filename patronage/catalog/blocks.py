@@ -49,10 +49,8 @@ def _spend_order(b: B):
 
 def _quartiles(b: B) -> DataFrame:
     totals = customer_totals(delivered(b.orders).select("customer_id"))
-    rows = ordered(totals, [F.col("orders").asc(), F.col("customer_id").asc()])
-    return rows.ranked("place").select(
-        "customer_id", ntile(F.col("place"), rows.rows.agg(_count_rows()).scalar(), 4).alias("quartile")
-    )
+    ranked = ordered(totals, [F.col("orders").asc(), F.col("customer_id").asc()]).ranked("place", total="n")
+    return ranked.select("customer_id", ntile(F.col("place"), F.col("n"), 4).alias("quartile"))
 
 
 def _cohort_members(b: B) -> DataFrame:
@@ -62,7 +60,6 @@ def _cohort_members(b: B) -> DataFrame:
 
 def _cohort_grid(b: B) -> DataFrame:
     """Cohort x offset with the active customers, by a left join on both keys."""
-    sizes = _cohort_members(b).groupBy("cohort_month").agg(_count_rows().alias("cohort_size"))
     active = (
         cohorts.active_months(b.orders)
         .filter(F.col("offset").isin(*cohorts.OFFSETS))
@@ -70,6 +67,8 @@ def _cohort_grid(b: B) -> DataFrame:
         .groupBy("cohort_month", "offset")
         .agg(_count_rows().alias("active"))
     )
+    # every member is active at offset 0; the same grouping feeds both sides of the join
+    sizes = active.groupBy("cohort_month").agg(F.max(F.when(F.col("offset") == 0, F.col("active"))).alias("cohort_size"))
     return rel.spread_over(sizes, cohorts.OFFSETS, "offset").join(active, ["cohort_month", "offset"], "left")
 
 
@@ -111,17 +110,10 @@ def _days_since_first(b: B) -> DataFrame:
     return days.select("customer_id", "order_date", "orders", F.datediff("order_date", first).alias("days_since_first"))
 
 
-def _top_rows(b: B) -> DataFrame:
-    rows = _spend_order(b)
-    last = F.floor(rows.rows.agg(_count_rows()).scalar() * F.lit(0.15))
-    return rows.ranked("rnk").filter(F.col("rnk") <= F.greatest(last, F.lit(1)))
-
-
 def _theta(b: B) -> DataFrame:
     """Smallest rank per target with a cumulative share of at least the target: one pass, no join."""
-    rows = _spend_order(b)
-    gmv = rows.rows.agg(F.sum("net_spend")).scalar()
-    through = revenue.cumulative(rows)
+    through = revenue.cumulative(_spend_order(b))
+    gmv = F.col("cumulative_gmv_total")
     targets = (50, 65, 80)
     wide = through.agg(
         *[F.min(F.when(F.col("cumulative_gmv") * 100 >= gmv * t, F.col("rnk"))).alias(f"rank_{t}") for t in targets]
@@ -269,9 +261,9 @@ AGGREGATES: dict[str, Callable[[B], DataFrame]] = {
     .pivot("year", list(range(1995, 2002)))
     .agg(F.sum("net_order_value"))
     .select("payment_method", *[F.col(f"`{y}`").alias(f"y{y}") for y in range(1995, 2002)]),
-    "first_per_group": lambda b: delivered(b.orders)
-    .groupBy("customer_id")
-    .agg(F.min_by("order_id", F.struct("order_date", "order_id")).alias("first_order_id")),
+    "first_per_group": lambda b: rel.pick_nth(
+        delivered(b.orders).select("customer_id", "order_id", "order_date"), "customer_id", _by_time(), 1
+    ).select("customer_id", F.col("order_id").alias("first_order_id")),
 }
 
 WINDOWS: dict[str, Callable[[B], DataFrame]] = {
@@ -280,14 +272,14 @@ WINDOWS: dict[str, Callable[[B], DataFrame]] = {
     ).select("customer_id", "order_id", "rn"),
     "spend_rank": lambda b: _spend_order(b).ranked("rnk"),
     "frequency_quartile": _quartiles,
-    "running_sum": lambda b: revenue.cumulative(_spend_order(b)),
+    "running_sum": lambda b: revenue.cumulative(_spend_order(b)).drop("rows_total", "cumulative_gmv_total"),
     "cumulative_share": lambda b: revenue.pareto_detail(_spend_order(b)).select(
         "rnk", "customer_id", "cumulative_customer_pct"
     ),
     "peer_average": _peer_average,
     "group_minimum_on_rows": _days_since_first,
     "first_index_at_target": lambda b: revenue.crossings(_spend_order(b), (25, 50, 75, 100)).select("target", "rnk"),
-    "top_fraction_rows": _top_rows,
+    "top_fraction_rows": lambda b: revenue.top_rows(_spend_order(b), 0.15).drop("gmv_total"),
 }
 
 
@@ -319,8 +311,9 @@ SORTS: dict[str, Callable[[B], DataFrame]] = {
     .agg(_count_rows().alias("n"))
     .select("cohort_month", "n", F.explode(F.array(*[F.lit(k) for k in cohorts.OFFSETS])).alias("offset")),
     "values_table": lambda b: b.spark.sql(
-        "SELECT count(*) AS orders, target FROM {orders} JOIN VALUES (50000), (250000), (450000) AS t(target) "
-        "ON net_order_value >= target GROUP BY target",
+        "SELECT label, count(*) AS orders FROM {orders} "
+        "JOIN VALUES ('Delivered', 'kept'), ('Cancelled', 'lost') AS t(order_status, label) USING (order_status) "
+        "GROUP BY label",
         orders=b.orders,
     ),
 }

@@ -165,9 +165,9 @@ SELECT oid AS order_id, 'delivered' AS source FROM good UNION ALL SELECT oid, 'd
     "unnest_array": HISTORY + f""",
 s AS (SELECT strftime(signup, '%Y-%m') AS m, count(*) AS n FROM person SEMI JOIN diary USING (cid) GROUP BY m)
 SELECT m AS cohort_month, n, unnest({_OFFSETS})::BIGINT AS "offset" FROM s""",
-    "values_table": """
-SELECT count(*) AS orders, target::BIGINT AS target FROM orders, (VALUES (50000), (250000), (450000)) t(target)
-WHERE o_totalprice >= target GROUP BY target""",
+    "values_table": MODEL + """
+SELECT CASE status WHEN 'Delivered' THEN 'kept' ELSE 'lost' END AS label, count(*) AS orders
+FROM fact WHERE status <> 'Refunded' GROUP BY ALL""",
     # scalar functions
     "month_difference": MODEL + """
 SELECT oid AS order_id, date_diff('month', DATE '1995-01-31', d) AS months FROM good""",

@@ -1,68 +1,90 @@
 """Pearson chi-square test of independence from a small table of counts."""
 
-import math
+from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+TERMS = 400
 
-def _upper_tail():
-    """A UDF for P(X >= statistic) with whole degrees of freedom; it runs on one row per test.
 
-    Built inside a function, so that it travels to the executors by value and they need not
-    have this package.
-    """
+def _gamma_of_half(k: Column) -> Column:
+    """Gamma(k / 2) for a whole k >= 1, from Gamma(1) = 1 or Gamma(1/2) = sqrt(pi)."""
+    odd = k % 2 == 1
+    start = F.when(odd, F.sqrt(F.pi())).otherwise(F.lit(1.0))
+    steps = F.when(odd, (k - 1) / 2).otherwise(k / 2 - 1).cast("int")
+    first = F.when(odd, F.lit(0.5)).otherwise(F.lit(1.0))
+    # an empty list of factors where there is no step
+    factors = F.filter(F.sequence(F.lit(0), F.greatest(steps, F.lit(0))), lambda i: i < steps)
+    return F.aggregate(factors, start, lambda product, i: product * (first + i))
 
-    def tail(x: float, k: int) -> float:
-        if k < 1:
-            return 1.0
-        half = x / 2.0
-        # finite sums of the upper incomplete gamma function for integer and half-integer order
-        if k % 2 == 0:
-            start, terms = 0.0, k // 2
-            total, term = 0.0, math.exp(-half)
-        else:
-            start, terms = 0.5, (k - 1) // 2
-            total, term = math.erfc(math.sqrt(half)), math.exp(-half) * math.sqrt(half) / math.gamma(1.5)
-        for step in range(terms):
-            total += term
-            term *= half / (start + step + 1)
-        return total
 
-    def upper_tail(statistic: pd.Series, dof: pd.Series) -> pd.Series:
-        return pd.Series([tail(float(x), int(k)) for x, k in zip(statistic, dof)])
+def upper_tail(statistic: Column, dof: Column) -> Column:
+    """P(X >= statistic) of the chi-square distribution, by incomplete gamma series or fraction.
 
-    return F.pandas_udf(upper_tail, T.DoubleType())
+    Below the mean the power series of the lower part converges fast; above it the continued
+    fraction of the upper part does, and keeps its relative precision where the tail is tiny.
+    """
+    a, x = dof / 2.0, statistic / 2.0
+    front = F.exp(-x) * F.pow(x, a) / _gamma_of_half(dof)
+    up = F.sequence(F.lit(1), F.lit(TERMS))
+    series = F.aggregate(
+        up,
+        F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum")),
+        lambda s, i: F.struct(
+            (s["term"] * x / (a + i)).alias("term"), (s["sum"] + s["term"] * x / (a + i)).alias("sum")
+        ),
+        lambda s: s["sum"],
+    )
+    fraction = F.aggregate(
+        F.reverse(up), F.lit(0.0), lambda below, i: i * (F.lit(0.0) + i - a) / (x + 2 * i + 1 - a - below)
+    )
+    return (
+        F.when((dof < 1) | (statistic <= 0), F.lit(1.0))
+        .when(x < a + 1, 1 - front * series / a)
+        .otherwise(front / (x + 1 - a - fraction))
+    )
 
 
 def chi_square(counts: DataFrame, row: str, column: str, n: str) -> DataFrame:
     """``statistic``, ``dof`` and ``p_value`` of a (row, column, n) table without zero totals.
 
     Absent rows and columns do not count towards the degrees of freedom. With one degree of
-    freedom the continuity correction applies. ``counts`` is already grouped, so it has as many
-    rows as the contingency table has cells.
+    freedom the continuity correction applies.
+
+    ``counts`` is already grouped: it has one row per cell with a customer, so the windows below
+    see label rows only. A cell nobody falls in adds its expected count, and these add up to
+    what the other cells leave of the total.
     """
-    margins = counts.groupBy(column).agg(F.sum(n).alias("_column_n"))
-    # the labels of one side as one array value, to lay out also the cells nobody falls in
-    labels = margins.agg(F.collect_list(F.struct(F.col(column).alias("_label"), "_column_n"))).scalar()
-    total = counts.agg(F.sum(n)).scalar()
-    dof = counts.agg(((F.countDistinct(row) - 1) * (F.countDistinct(column) - 1)).cast("int")).scalar()
-    by_row = counts.groupBy(row).agg(
-        F.sum(n).alias("_row_n"),
-        F.map_from_entries(F.collect_list(F.struct(F.col(column), F.col(n)))).alias("_seen"),
+    with_totals = counts.select(
+        F.col(row).alias("_r"),
+        F.col(column).alias("_c"),
+        F.col(n).cast("double").alias("_o"),
+        F.sum(n).over(W.partitionBy(row)).cast("double").alias("_row"),
+        F.count(n).over(W.partitionBy(row)).alias("_row_cells"),
+        F.sum(n).over(W.partitionBy(column)).cast("double").alias("_column"),
+        F.count(n).over(W.partitionBy(column)).alias("_column_cells"),
+        F.sum(n).over(W.partitionBy()).cast("double").alias("_all"),
+    ).withColumn("_e", F.col("_row") * F.col("_column") / F.col("_all"))
+    gap = F.col("_o") - F.col("_e")
+    sums = with_totals.agg(
+        F.size(F.collect_set("_r")).alias("_rows"),
+        F.size(F.collect_set("_c")).alias("_columns"),
+        F.count(F.lit(1)).alias("_cells"),
+        F.sum(gap * gap / F.col("_e")).alias("_plain"),
+        F.sum("_e").alias("_expected"),
+        F.max("_all").alias("_all"),
+        F.max(F.abs(gap)).alias("_gap"),
+        F.sum(1 / (F.col("_row") * F.col("_row_cells"))).alias("_inverse_rows"),
+        F.sum(1 / (F.col("_column") * F.col("_column_cells"))).alias("_inverse_columns"),
     )
-    cells = (
-        by_row.withColumn("_cell", F.explode(labels))
-        .withColumn("dof", dof)
-        .withColumn("_expected", F.col("_row_n") * F.col("_cell._column_n") / total)
-        .withColumn("_observed", F.coalesce(F.try_element_at("_seen", F.col("_cell._label")), F.lit(0)))
-        .withColumn("_gap", F.abs(F.col("_observed") - F.col("_expected")))
-        .withColumn(
-            "_gap",
-            F.when(F.col("dof") == 1, F.col("_gap") - F.least(F.lit(0.5), F.col("_gap"))).otherwise(F.col("_gap")),
-        )
+    empty = F.when(F.col("_cells") < F.col("_rows") * F.col("_columns"), F.col("_all") - F.col("_expected"))
+    dof = (F.col("_rows") - 1) * (F.col("_columns") - 1)
+    # two by two: all four gaps are equal
+    nearer = F.col("_gap") - F.least(F.lit(0.5), F.col("_gap"))
+    corrected = nearer * nearer * F.col("_all") * F.col("_inverse_rows") * F.col("_inverse_columns")
+    plain = F.col("_plain") + F.coalesce(empty, F.lit(0.0))
+    return sums.select(F.when(dof == 1, corrected).otherwise(plain).alias("statistic"), dof.alias("dof")).select(
+        "statistic", "dof", upper_tail(F.col("statistic"), F.col("dof")).alias("p_value")
     )
-    summed = cells.groupBy("dof").agg(F.sum(F.col("_gap") * F.col("_gap") / F.col("_expected")).alias("statistic"))
-    return summed.select("statistic", "dof", _upper_tail()("statistic", "dof").alias("p_value"))

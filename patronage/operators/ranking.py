@@ -10,7 +10,7 @@ most rows be split between partitions.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -29,11 +29,12 @@ class Ordered:
     rows: DataFrame
 
     def slots(self, **sums: Column) -> DataFrame:
-        """One row per range: its row count, its sums, and what lies before it.
+        """One row per range: its rows and sums, what lies before it, and the totals of all ranges.
 
-        The window below sees one row per shuffle partition, never data rows.
+        The windows below see one row per shuffle partition, never data rows.
         """
         before = W.orderBy(SLOT).rowsBetween(W.unboundedPreceding, -1)
+        everything = W.partitionBy()
         per_slot = self.rows.groupBy(SLOT).agg(
             F.count(F.lit(1)).alias("_rows"), *[F.sum(value).alias(f"_sum_{name}") for name, value in sums.items()]
         )
@@ -41,25 +42,34 @@ class Ordered:
             SLOT,
             "_rows",
             F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before"),
+            F.sum("_rows").over(everything).alias("_rows_total"),
             *[F.col(f"_sum_{name}") for name in sums],
             *[F.coalesce(F.sum(f"_sum_{n}").over(before), F.lit(0)).alias(f"_before_{n}") for n in sums],
+            *[F.sum(f"_sum_{n}").over(everything).alias(f"_total_{n}") for n in sums],
         )
 
-    def ranked(self, into: str = "rank") -> DataFrame:
-        """Every row with its 1-based rank. No shuffle: the place in the range is stored."""
-        slots = self.slots().select(SLOT, "_rows_before")
-        return (
-            self.rows.join(F.broadcast(slots), SLOT)  # one row per shuffle partition
-            .withColumn(into, F.col("_rows_before") + F.col(POSITION) + 1)
-            .drop(SLOT, POSITION, "_rows_before")
+    def ranked(self, into: str = "rank", total: str | None = None, **sums: Column) -> DataFrame:
+        """Every row with its 1-based rank, and on request the number of rows and total sums.
+
+        No shuffle: the place in the range is stored.
+        """
+        slots = self.slots(**sums)
+        kept = [F.col(name) for name in self.rows.columns if name not in (SLOT, POSITION)]
+        extra = [F.col("_rows_total").alias(total)] if total else []
+        return self.rows.join(F.broadcast(slots), SLOT).select(  # one row per shuffle partition
+            *kept,
+            (F.col("_rows_before") + F.col(POSITION) + 1).alias(into),
+            *extra,
+            *[F.col(f"_total_{n}").alias(f"{n}_total") for n in sums],
         )
 
     def running(self, into: str = "rank", **sums: Column) -> DataFrame:
-        """Every row with its rank and, per name, the sum of the value up to and including it."""
-        return self.running_with(self.slots(**sums), into, **sums).drop(SLOT)
+        """Every row with its rank, the number of rows, and per name the sum up to and including
+        the row (``name``) and over all rows (``name_total``)."""
+        return self.running_in(self.slots(**sums), into, **sums).drop(SLOT)
 
-    def running_with(self, slots: DataFrame, into: str = "rank", **sums: Column) -> DataFrame:
-        """:meth:`running` for part of the ranges, given the prefix sums of all of them; keeps the range."""
+    def running_in(self, slots: DataFrame, into: str = "rank", **sums: Column) -> DataFrame:
+        """:meth:`running` for the ranges listed in ``slots``; keeps the range tag."""
         inside = W.partitionBy(SLOT).orderBy(POSITION).rowsBetween(W.unboundedPreceding, W.currentRow)
         kept = [F.col(name) for name in self.rows.columns if name not in (SLOT, POSITION)]
         within = self.rows.select(
@@ -69,9 +79,15 @@ class Ordered:
             SLOT,
             *kept,
             (F.col("_rows_before") + F.col(POSITION) + 1).alias(into),
+            F.col("_rows_total").alias("rows_total"),
             *[(F.col(f"_before_{n}") + F.col(f"_inside_{n}")).alias(n) for n in sums],
+            *[F.col(f"_total_{n}").alias(f"{n}_total") for n in sums],
         )
 
+    def restricted(self, slots: DataFrame) -> "Ordered":
+        """Only the rows of the listed ranges; their tags and places stay."""
+        return Ordered(self.rows.join(F.broadcast(slots.select(SLOT).distinct()), SLOT, "left_semi"))
+
 
 def ordered(df: DataFrame, keys: Sequence[Column]) -> Ordered:
     """Range partition, sort, number, and write to the shared checkpoint folder.
@@ -145,26 +161,32 @@ def _div_up(a: Column, b: Column) -> Column:
     return F.call_function("div", a + b - 1, b)
 
 
-def exact_quantiles(long: DataFrame, group: str, value: str, probabilities: Mapping[str, float]) -> DataFrame:
-    """Exact quantiles with linear interpolation, per group, of a (group, value) table.
+def value_histogram(long: DataFrame, group: str, value: str) -> DataFrame:
+    """Distinct values per group with their count and the count up to each value, within the group.
 
-    Equal values are counted first, so a value that fills a third of the rows is one row, and
-    the built-in exact ``percentile`` with its per-task map of all values is not needed.
+    Equal values are counted first, so a value that fills a third of the rows is one row. From
+    this table come exact quantiles without the built-in ``percentile``, which holds all distinct
+    values of a group in one task.
     """
-    counted = long.groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"))
-    through = ordered(counted, [F.col(group), F.col(value)]).running(into="_rank", _through=F.col("_n"))
-    total = through.groupBy(group).agg(F.sum("_n").alias("_total"), F.min(F.col("_through") - F.col("_n")).alias("_base"))
-    # one row per group: a handful of metrics
-    placed = through.join(F.broadcast(total), group).withColumn("_upto", F.col("_through") - F.col("_base"))
-    picks = []
-    for name, p in probabilities.items():
-        point = (F.col("_total") - 1) * F.lit(float(p))
-        for side, index in (("low", F.floor(point)), ("high", F.ceil(point))):
-            picks.append(F.min(F.when(F.col("_upto") > index, F.col(value))).cast("double").alias(f"_{name}_{side}"))
-    found = placed.groupBy(group, "_total").agg(*picks)
-    result = [F.col(group)]
-    for name, p in probabilities.items():
-        point = (F.col("_total") - 1) * F.lit(float(p))
-        low, high = F.col(f"_{name}_low"), F.col(f"_{name}_high")
-        result.append((low + (high - low) * (point - F.floor(point))).alias(name))
-    return found.select(*result)
+    counted = long.groupBy(group, value).agg(F.count(F.lit(1)).alias("n"))
+    through = ordered(counted, [F.col(group), F.col(value)]).running(into="_rank", _upto=F.col("n"))
+    # one row per group, that is, per profiled column
+    bounds = through.groupBy(group).agg(F.sum("n").alias("n_total"), F.min(F.col("_upto") - F.col("n")).alias("_base"))
+    return through.join(F.broadcast(bounds), group).select(
+        group, value, "n", (F.col("_upto") - F.col("_base")).alias("upto"), "n_total"
+    )
+
+
+def quantile_parts(value: str, p: float) -> tuple[Column, Column, Column]:
+    """Aggregates over a group of :func:`value_histogram`: the two values around quantile ``p``
+    and the weight of the upper one."""
+    point = (F.col("n_total") - 1) * F.lit(float(p))
+    low = F.min(F.when(F.col("upto") > F.floor(point), F.col(value))).cast("double")
+    high = F.min(F.when(F.col("upto") > F.ceil(point), F.col(value))).cast("double")
+    return low, high, F.max(point - F.floor(point))
+
+
+def exact_quantile(value: str, p: float) -> Column:
+    """Quantile with linear interpolation, as an aggregate over a group of :func:`value_histogram`."""
+    low, high, weight = quantile_parts(value, p)
+    return low + (high - low) * weight

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from patronage.functions import calendar, numeric
 from patronage.operators.facts import customer_totals
-from patronage.operators.ranking import exact_quantiles
+from patronage.operators.ranking import exact_quantile, value_histogram
+from patronage.operators.relational import membership_flag
 from patronage.plans.revenue import by_spend, top_fraction_share
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
@@ -43,7 +44,7 @@ def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     crosses the network as one row per task.
     """
     per_key = child.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    lost = per_key.join(parent.select(key).distinct(), key, "left_anti")
+    lost = per_key.join(parent.select(key), key, "left_anti")
     return lost.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("orphans"))
 
 
@@ -97,24 +98,22 @@ def order_coverage(orders: DataFrame, items: DataFrame, delivery: DataFrame) ->
 def lifecycle_shares(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """One-order share of orderers, share with at most one order of all customers, highest count. All statuses."""
     per_customer = customer_totals(orders.select("customer_id"))
-    known = customers.select("customer_id").join(per_customer, "customer_id", "left")
-    few = known.agg(
-        numeric.pct(numeric.count_if(numeric.or_zero(F.col("orders")) <= 1), F.count(F.lit(1))).alias("pct")
-    )
-    return per_customer.agg(
-        numeric.pct(numeric.count_if(F.col("orders") == 1), F.count(F.lit(1))).alias("one_order_pct"),
+    known = customers.select("customer_id", F.lit(True).alias("_known"))
+    # both sides have one row per customer
+    everyone = per_customer.join(known, "customer_id", "full")
+    at_most_one = F.col("_known").isNotNull() & (numeric.or_zero(F.col("orders")) <= 1)
+    return everyone.agg(
+        numeric.pct(numeric.count_if(F.col("orders") == 1), F.count("orders")).alias("one_order_pct"),
+        numeric.pct(numeric.count_if(at_most_one), F.count("_known")).alias("at_most_one_order_pct"),
         F.max("orders").alias("max_orders"),
-    ).select("one_order_pct", few.scalar().alias("at_most_one_order_pct"), "max_orders")
+    )
 
 
 def discounted_share(orders: DataFrame, discounts: DataFrame) -> DataFrame:
     """Orders with a discount, of all orders whatever their status."""
-    total = orders.agg(F.count(F.lit(1))).scalar()
-    return (
-        orders.join(discounts.select("order_id").distinct(), "order_id", "left_semi")
-        .agg(F.count(F.lit(1)).alias("discounted_orders"))
-        .select("discounted_orders", numeric.pct(F.col("discounted_orders"), total).alias("discounted_pct"))
-    )
+    marked = membership_flag(orders, discounts, "order_id", "_discounted")
+    n = numeric.count_if(F.col("_discounted"))
+    return marked.agg(n.alias("discounted_orders"), numeric.pct(n, F.count(F.lit(1))).alias("discounted_pct"))
 
 
 def weekend_uplift(orders: DataFrame, weeks: int = 104) -> DataFrame:
@@ -163,7 +162,7 @@ def delay_by_order_count(facts: DataFrame) -> DataFrame:
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column: count, mean, sample deviation, min, quartiles (linear), max. Columns are numeric.
 
-    Quartiles are exact and distributed, see :func:`patronage.operators.ranking.exact_quantiles`.
+    One pass over the rows makes a histogram of distinct values; all figures come from it.
     """
     value = F.col("value")
     long = df.select(
@@ -171,18 +170,19 @@ def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("decimal(18,2)").alias("value")) for c in columns])
         ).alias("cell")
     ).select("cell.metric", "cell.value")
-    long = long.filter(value.isNotNull())
+    histogram = value_histogram(long.filter(value.isNotNull()), "metric", "value")
     # exact sums, so the deviation does not depend on the order of addition
-    sums = long.groupBy("metric").agg(
-        F.count(value).alias("n"),
-        F.sum(value).cast("double").alias("_sum"),
-        F.sum((value * value).cast("decimal(38,4)")).cast("double").alias("_squares"),
+    square = (value * value).cast("decimal(37,4)")
+    sums = histogram.groupBy("metric").agg(
+        F.sum("n").alias("n"),
+        F.sum((value * F.col("n")).cast("decimal(38,2)")).cast("double").alias("_sum"),
+        F.sum((square * F.col("n")).cast("decimal(38,4)")).cast("double").alias("_squares"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
+        *[exact_quantile("value", p).alias(name) for name, p in QUARTILES.items()],
     )
     n = F.col("n")
     variance = (F.col("_squares") - F.col("_sum") * F.col("_sum") / n) / F.nullif(n - 1, F.lit(0).cast("bigint"))
-    quartiles = exact_quantiles(long, "metric", "value", QUARTILES)
-    return sums.join(quartiles, "metric").select(
+    return sums.select(
         "metric", n, (F.col("_sum") / n).alias("mean"), F.sqrt(variance).alias("std"), "min", *QUARTILES, "max"
     )

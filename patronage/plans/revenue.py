@@ -24,24 +24,19 @@ def by_spend(orders: DataFrame, status_filter: bool = True) -> Ordered:
     return ordered(spend, [F.col("net_spend").desc(), F.col("customer_id").asc()])
 
 
-def _totals(rows: DataFrame) -> tuple[Column, Column]:
-    """Customers and GMV as scalar subqueries over the written rows."""
-    return rows.agg(F.count(F.lit(1))).scalar(), rows.agg(F.sum("net_spend")).scalar()
-
-
 def cumulative(sorted_customers: Ordered) -> DataFrame:
+    """``rnk``, ``cumulative_gmv``, and the totals ``rows_total`` and ``cumulative_gmv_total``."""
     return sorted_customers.running(into="rnk", cumulative_gmv=F.col("net_spend"))
 
 
 def pareto_detail(sorted_customers: Ordered) -> DataFrame:
     """Per customer: rank, cumulative share of customers, cumulative GMV and its share."""
-    n, gmv = _totals(sorted_customers.rows)
     return cumulative(sorted_customers).select(
         "rnk",
         "customer_id",
-        numeric.rounded_pct(F.col("rnk"), n, 3).alias("cumulative_customer_pct"),
+        numeric.rounded_pct(F.col("rnk"), F.col("rows_total"), 3).alias("cumulative_customer_pct"),
         "cumulative_gmv",
-        numeric.rounded_pct(F.col("cumulative_gmv"), gmv, 3).alias("cumulative_gmv_pct"),
+        numeric.rounded_pct(F.col("cumulative_gmv"), F.col("cumulative_gmv_total"), 3).alias("cumulative_gmv_pct"),
     )
 
 
@@ -53,30 +48,24 @@ def crossings(sorted_customers: Ordered, targets: Sequence[float] = TARGETS) ->
     """
     spend = F.col("net_spend")
     positive = F.greatest(spend, F.lit(0).cast("decimal(12,2)"))
-    n, gmv = _totals(sorted_customers.rows)
     slots = sorted_customers.slots(gmv=spend, peak=positive)
-    reached = F.lit(100) * (F.col("_before_gmv") + F.col("_sum_peak"))
-    first_slot = [
-        F.min(F.when(reached >= gmv * F.lit(target), F.col(SLOT))).alias(f"_slot_{i}")
-        for i, target in enumerate(targets)
-    ]
-    # at most one row per target
-    hit = slots.agg(*first_slot).select(
-        F.explode(
-            F.array(*[F.struct(F.lit(t).alias("target"), F.col(f"_slot_{i}").alias(SLOT)) for i, t in enumerate(targets)])
-        ).alias("hit")
+    reached = (F.col("_before_gmv") + F.col("_sum_peak")) * 100
+    candidates = slots.withColumn("target", F.explode(F.array(*[F.lit(t) for t in targets]))).filter(
+        reached >= F.col("_total_gmv") * F.col("target")
     )
-    hit = hit.select("hit.*").filter(F.col(SLOT).isNotNull())
-    touched = Ordered(sorted_customers.rows.join(F.broadcast(hit.select(SLOT).distinct()), SLOT, "left_semi"))
-    # the prefix sums must cover the ranges that are skipped
-    inside = touched.running_with(slots.select(SLOT, "_rows_before", "_before_gmv"), into="rnk", gmv=spend)
+    # one row per target
+    hit = candidates.groupBy("target").agg(F.min(SLOT).alias(SLOT))
+    touched = sorted_customers.restricted(hit).running_in(slots, into="rnk", gmv=spend)
     return (
-        inside.join(F.broadcast(hit), SLOT)
-        .filter(F.col("gmv") * 100 >= gmv * F.col("target"))
+        touched.join(F.broadcast(hit), SLOT)
+        .filter(F.col("gmv") * 100 >= F.col("gmv_total") * F.col("target"))
         .groupBy("target")
-        .agg(F.min("rnk").alias("rnk"), F.min_by("gmv", "rnk").alias("cumulative_gmv"))
-        .withColumn("customers", n)
-        .withColumn("total_gmv", gmv)
+        .agg(
+            F.min("rnk").alias("rnk"),
+            F.min_by("gmv", "rnk").alias("cumulative_gmv"),
+            F.max("rows_total").alias("customers"),
+            F.max("gmv_total").alias("total_gmv"),
+        )
     )
 
 
@@ -124,27 +113,31 @@ def lorenz_curve(sorted_customers: Ordered, points: int | None = None) -> DataFr
     Thinning drops points of the drawing only; every customer is in the sums. The last rank
     is always kept.
     """
-    n, gmv = _totals(sorted_customers.rows)
     curve = cumulative(sorted_customers)
+    n = F.col("rows_total")
     if points is not None:
         step = F.greatest(F.call_function("div", n, F.lit(points)), F.lit(1))
         curve = curve.filter((F.col("rnk") % step == 0) | (F.col("rnk") == n))
     return curve.select(
         "rnk",
         numeric.pct(F.col("rnk"), n).alias("customers_pct"),
-        numeric.pct(F.col("cumulative_gmv"), gmv).alias("gmv_pct"),
+        numeric.pct(F.col("cumulative_gmv"), F.col("cumulative_gmv_total")).alias("gmv_pct"),
     )
 
 
+def top_rows(sorted_customers: Ordered, fraction: float) -> DataFrame:
+    """The first ``floor(n * fraction)`` customers, at least one, with their rank."""
+    last = F.greatest(F.floor(F.col("_rows") * F.lit(fraction)), F.lit(1))
+    ranked = sorted_customers.ranked("rnk", total="_rows", gmv=F.col("net_spend"))
+    return ranked.filter(F.col("rnk") <= last).drop("_rows")
+
+
 def top_fraction_share(sorted_customers: Ordered, fraction: float = 0.15) -> DataFrame:
-    """GMV share of the first ``floor(n * fraction)`` customers, at least one."""
-    n, gmv = _totals(sorted_customers.rows)
-    last = F.greatest(F.floor(n * F.lit(fraction)), F.lit(1))
-    return (
-        sorted_customers.ranked("rnk")
-        .filter(F.col("rnk") <= last)
-        .agg(F.count(F.lit(1)).alias("top_customers"), F.sum("net_spend").alias("_top"))
-        .select("top_customers", numeric.pct(F.col("_top"), gmv).alias("top_share_pct"))
+    """GMV share of the customers of :func:`top_rows`."""
+    top = top_rows(sorted_customers, fraction)
+    return top.agg(
+        F.count(F.lit(1)).alias("top_customers"),
+        numeric.pct(F.sum("net_spend"), F.max("gmv_total")).alias("top_share_pct"),
     )
 
 
@@ -165,17 +158,16 @@ def key_accounts(sorted_customers: Ordered, share: int = 50) -> DataFrame:
 def revenue_at_risk(sorted_customers: Ordered, churn_pct: int = 5, share: int = 50) -> DataFrame:
     """GMV lost if ``churn_pct`` percent of the key accounts leave, at their mean spend, and the
     size of the largest group of lowest-spending customers with no more GMV than that."""
-    found = crossings(sorted_customers, [share])
-    # one row: the crossing of the single target
-    at_risk_100 = found.agg(F.max(F.col("cumulative_gmv") * churn_pct)).scalar()
-    lost = found.agg(F.max(numeric.rounded_ratio(F.col("rnk") * churn_pct, F.lit(100), 0))).scalar()
-    _, gmv = _totals(sorted_customers.rows)
-    from_bottom = gmv - F.col("cumulative_gmv") + F.col("net_spend")
+    crossing = crossings(sorted_customers, [share])
+    # one row, used as one scalar value
+    key = crossing.agg(F.max(F.struct("rnk", "cumulative_gmv"))).scalar()
+    at_risk_100 = key["cumulative_gmv"] * churn_pct
+    from_bottom = F.col("cumulative_gmv_total") - F.col("cumulative_gmv") + F.col("net_spend")
     return (
         cumulative(sorted_customers)
         .agg(numeric.count_if(from_bottom * 100 <= at_risk_100).alias("equal_bottom_customers"))
         .select(
-            lost.cast("bigint").alias("customers_lost"),
+            numeric.rounded_ratio(key["rnk"] * churn_pct, F.lit(100), 0).cast("bigint").alias("customers_lost"),
             (at_risk_100.cast("double") / 100).alias("gmv_at_risk"),
             "equal_bottom_customers",
         )

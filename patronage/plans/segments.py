@@ -40,9 +40,8 @@ def rfm_scores(orders: DataFrame, snapshot: Column | None = None, tiles: int = 4
         ("m_score", F.col("monetary").asc()),
     )
     for name, key in directions:
-        sorted_rows = ordered(scored, [key, F.col("customer_id").asc()])
-        rows = sorted_rows.rows.agg(F.count(F.lit(1))).scalar()
-        scored = sorted_rows.ranked("_rank").withColumn(name, ntile(F.col("_rank"), rows, tiles)).drop("_rank")
+        ranked = ordered(scored, [key, F.col("customer_id").asc()]).ranked("_rank", total="_rows")
+        scored = ranked.withColumn(name, ntile(F.col("_rank"), F.col("_rows"), tiles)).drop("_rank", "_rows")
     return scored.select(
         "customer_id",
         "r_score",
