@@ -11,6 +11,11 @@ def month_index(day: Column) -> Column:
     return F.year(day) * 12 + F.month(day)
 
 
+def month_start(day: Column) -> Column:
+    """First day of the month: a key to group many rows by, formatted once per group afterwards."""
+    return F.trunc(day, "month")
+
+
 def month_key(day: Column) -> Column:
     return F.date_format(day, "yyyy-MM")
 

@@ -25,7 +25,7 @@ def monthly_kpis(customers: DataFrame, facts: DataFrame, on_time_limit: int = ON
     delay = F.col("delivery_delay_min")
     per_month = (
         delivered(facts)
-        .groupBy(calendar.month_key(F.col("order_date")).alias("order_month"))
+        .groupBy(calendar.month_start(F.col("order_date")).alias("_month"))
         .agg(
             F.count(F.lit(1)).alias("total_orders"),
             F.sum("net_order_value").alias("total_gmv"),
@@ -34,6 +34,7 @@ def monthly_kpis(customers: DataFrame, facts: DataFrame, on_time_limit: int = ON
             F.count(delay).alias("_events"),
             numeric.count_if(delay < on_time_limit).alias("_on_time"),
         )
+        .withColumn("order_month", calendar.month_key(F.col("_month")))
     )
     return (
         per_month.join(new_customers_by_month(customers), "order_month", "left")

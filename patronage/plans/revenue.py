@@ -180,7 +180,8 @@ def monthly_gmv(orders: DataFrame, window_end: Column | None = None) -> DataFram
     if window_end is not None:
         good = good.filter(F.col("order_date") <= window_end)
     return (
-        good.groupBy(calendar.month_key(F.col("order_date")).alias("order_month"))
+        good.groupBy(calendar.month_start(F.col("order_date")).alias("_month"))
         .agg(F.sum("net_order_value").alias("gmv"))
+        .select(calendar.month_key(F.col("_month")).alias("order_month"), "gmv")
         .orderBy("order_month")
     )
