@@ -18,7 +18,7 @@ def heavy_ties(spark, rows):
     return spark.range(rows).select(F.col("id"), value.cast("decimal(12,2)").alias("v")).repartition(5)
 
 
-@pytest.mark.parametrize("rows", [0, 1, 3, 20_000])
+@pytest.mark.parametrize("rows", [0, 3, 20_000])
 def test_rank_and_running_sum(spark, layout, rows):
     df = heavy_ties(spark, rows)
     keys = [F.col("v").desc(), F.col("id").asc()]
@@ -27,9 +27,9 @@ def test_rank_and_running_sum(spark, layout, rows):
     placed = ordered(df, keys)
     assert {(r.id, r["rank"]) for r in placed.ranked().collect()} == {(e.id, e.r) for e in expected}
     got = placed.running(into="r", s=F.col("v")).collect()
-    values = df.collect()
+    total = sum((row.v for row in df.collect()), Decimal(0))
     assert {(r.id, r.r, r.s) for r in got} == {(e.id, e.r, e.s) for e in expected}
-    assert all(r.rows_total == rows and r.s_total == sum(e_v.v for e_v in values) for r in got)
+    assert all(r.rows_total == rows and r.s_total == total for r in got)
 
 
 @pytest.mark.parametrize("rows", [1, 2, 3, 4, 5, 7, 402, 403])

@@ -45,8 +45,9 @@ def test_rules(spark, days, snapshot, gap, strict, eligible):
 
 def test_gap_contains_strict(spark, layout):
     rows = [(f"c{i}", (i * j * 37) % 140) for i in range(60) for j in range(1 + i % 4)]
+    rows += [("same", 0), ("same", 0), ("later", 0), ("later", 0), ("later", 120)]
     found = flags(spark, rows, 120).values()
-    assert len(found) == 60
+    assert len(found) == 62
     assert all(r.retained_gap or not r.retained_strict for r in found)
     assert any(r.retained_gap and not r.retained_strict for r in found)
 
