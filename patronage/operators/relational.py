@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -44,12 +44,19 @@ def spread_over(df: DataFrame, values: Sequence, into: str) -> DataFrame:
     return df.withColumn(into, F.explode(F.array(*[F.lit(v) for v in values])))
 
 
-def reindexed(df: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
-    """One row per listed key, in the given order; keys without a row have NULLs."""
-    listed = df.sparkSession.createDataFrame(
-        [(value, place) for place, value in enumerate(values, start=1)], f"{key} string, {key}_order int"
-    )
-    return listed.join(df, key, "left").orderBy(f"{key}_order")
+def listed(spark: SparkSession, key: str, values: Sequence[str], order: str) -> DataFrame:
+    """A literal table of labels and their 1-based position."""
+    rows = [F.struct(F.lit(v).alias(key), F.lit(place).alias(order)) for place, v in enumerate(values, start=1)]
+    return spark.range(1).select(F.explode(F.array(*rows)).alias("row")).select("row.*")
+
+
+def reindexed(df: DataFrame, key: str, values: Sequence[str], order: str | None = None) -> DataFrame:
+    """One row per listed key, in the given order; keys without a row have NULLs.
+
+    ``df`` is already grouped by the label, so it has at most one row per label.
+    """
+    order = order or f"{key}_order"
+    return listed(df.sparkSession, key, values, order).join(F.broadcast(df), key, "left").orderBy(order)
 
 
 def orphan_rows(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from patronage.functions import bands, numeric
 from patronage.operators.facts import customer_timeline, delivered, snapshot_date, with_delivery
 from patronage.operators.independence import chi_square
+from patronage.operators.relational import reindexed
 
 WINDOW_DAYS = 90
 
@@ -132,20 +133,11 @@ def delay_retention_strict(outcomes: DataFrame) -> DataFrame:
         F.sum("customers").alias("customer_count"),
         F.sum(F.when(F.col("retained"), F.col("customers")).otherwise(F.lit(0))).alias("retained_count"),
     )
-    spark = outcomes.sparkSession
-    listed = spark.createDataFrame(
-        [(label, place) for place, label in enumerate(bands.DELAY_LABELS, start=1)],
-        "delay_bucket string, bucket_order int",
-    )
-    return (
-        listed.join(per_bucket, "delay_bucket", "left")
-        .select(
-            "delay_bucket",
-            "bucket_order",
-            "customer_count",
-            numeric.pct(F.col("retained_count"), F.col("customer_count")).alias("retention_pct"),
-        )
-        .orderBy("bucket_order")
+    return reindexed(per_bucket, "delay_bucket", bands.DELAY_LABELS, "bucket_order").select(
+        "delay_bucket",
+        "bucket_order",
+        "customer_count",
+        numeric.pct(F.col("retained_count"), F.col("customer_count")).alias("retention_pct"),
     )
 
 

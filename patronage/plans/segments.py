@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from patronage.functions import bands, numeric
 from patronage.operators.facts import customer_timeline, customer_totals, delivered, snapshot_date
 from patronage.operators.ranking import ntile, ordered
+from patronage.operators.relational import reindexed
 from patronage.plans.retention import WINDOW_DAYS, with_flags
 
 
@@ -67,9 +68,6 @@ def rfm_summary(segments: DataFrame) -> DataFrame:
     per_segment = segments.groupBy("segment").agg(
         F.count(F.lit(1)).alias("customers"), F.sum("monetary").alias("gmv"), F.sum("frequency").alias("_orders")
     )
-    listed = segments.sparkSession.createDataFrame(
-        [(label, place) for place, label in enumerate(bands.SEGMENTS, start=1)], "segment string, segment_order int"
-    )
     every = W.partitionBy()  # over at most five rows
     shares = per_segment.select(
         "segment",
@@ -79,7 +77,7 @@ def rfm_summary(segments: DataFrame) -> DataFrame:
         numeric.pct(F.col("gmv"), F.sum("gmv").over(every)).alias("pct_gmv"),
         numeric.ratio(F.col("_orders"), F.col("customers")).alias("avg_frequency"),
     )
-    return listed.join(shares, "segment", "left").orderBy("segment_order")
+    return reindexed(shares, "segment", bands.SEGMENTS)
 
 
 def segment_avg_frequency(segments: DataFrame) -> DataFrame:
