@@ -5,12 +5,13 @@ import os
 import pytest
 
 import __spark_entry__ as driver
+from patronage import catalog
 from compare import difference, duck
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 # all pairs of two sides, or rows handed to Python
 UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "FlatMapGroups")
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLE = catalog.queries(), catalog.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not here")
 
@@ -22,6 +23,7 @@ def connection():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(driver.queries())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
