@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronage.llm import language_id, url_filter
+import public_tokenizers
+from patronage.llm import bpe, language_id, token_files, url_filter
 from patronage.llm.oracle import ORACLE
 
 
@@ -23,6 +24,17 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", (~language_id.is_training()).alias("held_out"), "lang_pred", "score")
 
 
+def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of every document and the bytes they decode to, as digests."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.digests(spark, _table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
+
+
+def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of every document written to Simple-8b files and read back."""
+    return token_files.write_and_read(spark, _table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2)
+
+
 def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """A verdict on every page's URL by the base rules, else by the extra globs."""
     return url_filter.judge(_table(spark, folder, "pages").select("page_id", "url"))
@@ -30,6 +42,8 @@ def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_byte_bpe": op2_byte_bpe,
+    "op7_token_files": op7_token_files,
     "op8_url_filter": op8_url_filter,
 }
 
