@@ -15,25 +15,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronage.llm.text import mix, texts
+from patronage.llm.text import mix, slices
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
 UNKNOWN = "und"
 MODEL_BYTES = 256 << 20
-SEGMENT = 1 << 20
+SEGMENT = 1 << 19
 
 
-def _segments(batch: pa.RecordBatch, name: str = "text") -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Code points and their rows, a bounded number at a time.
+def _segments(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Code points, their rows, and how many of them may start an n-gram, a bounded number at a time.
 
-    A text longer than a segment is continued in the next one with the last characters repeated,
-    and ``-1`` as the row of repeated characters, so that each n-gram is counted once.
+    A segment also holds the first characters of the next one, in which its last n-grams end, so
+    that a text of any length is counted whole and each n-gram once.
     """
-    data, offsets = texts(batch.column(name))
     look = max(ORDERS) - 1
     leads = (data & 0xC0) != 0x80
-    at = np.concatenate(([0], np.flatnonzero(leads), [len(data)])) if not len(data) else np.concatenate((np.flatnonzero(leads), [len(data)]))
+    at = np.concatenate((np.flatnonzero(leads), [len(data)]))
     rows = np.searchsorted(offsets, at[:-1], "right") - 1
     for begin in range(0, len(at) - 1, SEGMENT):
         end = min(begin + SEGMENT, len(at) - 1)
@@ -56,12 +55,12 @@ def _buckets(codes: np.ndarray, rows: np.ndarray, own: int, order: int, buckets:
 
 def _count(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     totals: dict[str, np.ndarray] = {}
-    for batch in batches:
+    for batch, data, offsets in slices(batches):
         labels = batch.column("lang").to_pylist()
         names = sorted(set(labels))
         index = np.array([names.index(x) for x in labels], np.int64)
         sums = np.zeros((len(names), buckets), np.int64)
-        for codes, rows, own in _segments(batch):
+        for codes, rows, own in _segments(data, offsets):
             for order in ORDERS:
                 bucket, row = _buckets(codes, rows, own, order, buckets)
                 sums += np.bincount(index[row] * buckets + bucket, minlength=sums.size).reshape(sums.shape)
@@ -96,9 +95,9 @@ def fit(labelled: DataFrame, buckets: int = BUCKETS, smoothing: float = 0.5) ->
 
 def _score(batches: Iterator[pa.RecordBatch], model: dict) -> Iterator[pa.RecordBatch]:
     weights, prior, names = model["weights"], model["prior"], np.array([*model["names"], UNKNOWN], object)
-    for batch in batches:
+    for batch, data, offsets in slices(batches, "lowered"):
         total = np.zeros((batch.num_rows, len(prior))) + prior
-        for codes, rows, own in _segments(batch, "lowered"):
+        for codes, rows, own in _segments(data, offsets):
             for order in ORDERS:
                 bucket, row = _buckets(codes, rows, own, order, len(weights))
                 if len(row):
