@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from patronage.llm import bpe, language_id, token_files, url_filter
+from patronage.llm import bpe, language_id, ngram_jaccard, token_files, url_filter
 from patronage.llm.oracle import ORACLE
 
 
@@ -30,6 +30,11 @@ def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(spark, _table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose five-word shingle sets are similar by 0.8 or more."""
+    return ngram_jaccard.link(spark, _table(spark, folder, "documents"))
+
+
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document written to Simple-8b files and read back."""
     return token_files.write_and_read(spark, _table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2)
@@ -43,6 +48,7 @@ def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_byte_bpe": op2_byte_bpe,
+    "op4_ngram_jaccard": op4_ngram_jaccard,
     "op7_token_files": op7_token_files,
     "op8_url_filter": op8_url_filter,
 }
