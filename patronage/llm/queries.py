@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from patronage.llm import bpe, language_id, ngram_jaccard, token_files, url_filter
+from patronage.llm import bpe, language_id, ngram_jaccard, suffix_dedup, token_files, url_filter
 from patronage.llm.oracle import ORACLE
 
 
@@ -45,12 +45,21 @@ def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(_table(spark, folder, "pages").select("page_id", "url"))
 
 
+def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of each document without the 50-byte strings that a smaller doc_id also holds."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = suffix_dedup.remove_repeats(spark, docs)
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    return found.select("doc_id", size.alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_byte_bpe": op2_byte_bpe,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op7_token_files": op7_token_files,
     "op8_url_filter": op8_url_filter,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 

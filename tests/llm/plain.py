@@ -40,3 +40,24 @@ def jaccard_links(rows):
     linked = [(sets[a][0], sets[b][0]) for a, b in pairs if similar(sets[a][1], sets[b][1])]
     found = components([i for i, _ in rows], linked)
     return {i: (len(s), found[i]) for i, s in sets}
+
+
+def without_repeats(rows, window=50):
+    """doc_id -> (kept bytes, removed, spans) of rows of (doc_id, text)."""
+    least: dict = {}
+    for i, text in rows:
+        data = (text or "").encode()
+        for k in range(len(data) - window + 1):
+            part = data[k : k + window]
+            least[part] = min(least.get(part, i), i)
+    out = []
+    for i, text in rows:
+        data = (text or "").encode()
+        gone = bytearray(len(data))
+        for k in range(len(data) - window + 1):
+            if least[data[k : k + window]] < i:
+                gone[k : k + window] = b"\1" * window
+        kept = bytes(b for b, g in zip(data, gone) if not g)
+        runs = sum(1 for k, g in enumerate(gone) if g and not (k and gone[k - 1]))
+        out.append((i, kept, sum(gone), runs))
+    return sorted(out)
