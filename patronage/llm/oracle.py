@@ -11,7 +11,38 @@ def _regex(glob: str) -> str:
     return "".join({"^": r"[^\x0A]*", "*": r".*", "|": r"\x0A"}.get(c, "\\" + c if c in special else c) for c in glob)
 
 
+#: Distinct five-word shingles of each text; fewer words are one shingle.
+_SHINGLES = r"""
+{name}_words AS (
+  SELECT {key} AS id, list_filter(string_split_regex(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM {table}
+), {name} AS (
+  SELECT DISTINCT id, array_to_string(w[k : k + 4], ' ') AS s FROM {name}_words, unnest(range(1, greatest(len(w) - 3, 2))) AS r(k) WHERE len(w) > 0
+), {name}_sizes AS (SELECT id, count(*) AS n FROM {name} GROUP BY id)
+"""
+_DOC_SHINGLES = _SHINGLES.format(name="docs", key="doc_id", text="text", table="documents")
+_ITEM_SHINGLES = _SHINGLES.format(name="items", key="item_id", text="text", table="benchmark")
+
 ORACLE = {
+    "op4_ngram_jaccard": rf"""
+WITH RECURSIVE {_DOC_SHINGLES}, pairs AS (
+  SELECT a.id AS a, b.id AS b, count(*) AS common FROM docs a JOIN docs b ON a.s = b.s AND a.id < b.id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM pairs JOIN docs_sizes x ON x.id = a JOIN docs_sizes y ON y.id = b WHERE 100 * common >= 80 * (x.n + y.n - common)
+), both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links), reached(id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT reached.id, both_ways.b FROM reached JOIN both_ways ON both_ways.a = reached.other
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, r.component_id
+FROM documents d LEFT JOIN docs_sizes ON docs_sizes.id = d.doc_id
+JOIN (SELECT id, min(other) AS component_id FROM reached GROUP BY id) r ON r.id = d.doc_id
+""",
+    "op9_decontamination": rf"""
+WITH {_DOC_SHINGLES}, {_ITEM_SHINGLES}, shared AS (
+  SELECT docs.id AS doc_id, items.id AS item_id, count(*) AS n_shared FROM docs JOIN items ON docs.s = items.s GROUP BY ALL
+)
+SELECT doc_id, item_id, n AS n_shingles, n_shared, n_shared / n AS containment
+FROM shared JOIN items_sizes ON items_sizes.id = item_id WHERE 100 * n_shared >= 80 * n
+""",
     "op8_url_filter": rf"""
 WITH cut AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages

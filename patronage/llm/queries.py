@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from patronage.llm import bpe, language_id, ngram_jaccard, suffix_dedup, token_files, url_filter
+from patronage.llm import bpe, decontaminate, language_id, ngram_jaccard, suffix_dedup, token_files, url_filter
 from patronage.llm.oracle import ORACLE
 
 
@@ -45,6 +45,11 @@ def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(_table(spark, folder, "pages").select("page_id", "url"))
 
 
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with every benchmark item of which it has four fifths of the five-word shingles or more."""
+    return decontaminate.find(spark, _table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """What is left of each document without the 50-byte strings that a smaller doc_id also holds."""
     docs = _table(spark, folder, "documents").select("doc_id", "text")
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op7_token_files": op7_token_files,
     "op8_url_filter": op8_url_filter,
+    "op9_decontamination": op9_decontamination,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
