@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from patronage.llm import bpe, decontaminate, language_id, ngram_jaccard, suffix_dedup, token_files, url_filter
+from patronage.llm import bpe, decontaminate, language_id, license_scan, ngram_jaccard, suffix_dedup, token_files, url_filter
 from patronage.llm.oracle import ORACLE
 
 
@@ -35,6 +35,11 @@ def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_jaccard.link(spark, _table(spark, folder, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence phrases and detections in every document."""
+    return license_scan.scan(_table(spark, folder, "documents")).drop("detections")
+
+
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document written to Simple-8b files and read back."""
     return token_files.write_and_read(spark, _table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2)
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_byte_bpe": op2_byte_bpe,
     "op4_ngram_jaccard": op4_ngram_jaccard,
+    "op5_license_scan": op5_license_scan,
     "op7_token_files": op7_token_files,
     "op8_url_filter": op8_url_filter,
     "op9_decontamination": op9_decontamination,
