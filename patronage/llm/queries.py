@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from patronage.llm import bpe, decontaminate, language_id, license_scan, ngram_jaccard, suffix_dedup, token_files, url_filter
+from patronage.llm import bpe, decontaminate, language_id, lattice_dedup, license_scan, ngram_jaccard, suffix_dedup, token_files, url_filter
 from patronage.llm.oracle import ORACLE
 
 
@@ -40,6 +40,11 @@ def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan(_table(spark, folder, "documents")).drop("detections")
 
 
+def op6_lattice_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and components of embeddings with a cosine of 0.9 or more."""
+    return lattice_dedup.link(spark, _table(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document written to Simple-8b files and read back."""
     return token_files.write_and_read(spark, _table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2)
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_license_scan": op5_license_scan,
+    "op6_lattice_dedup": op6_lattice_dedup,
     "op7_token_files": op7_token_files,
     "op8_url_filter": op8_url_filter,
     "op9_decontamination": op9_decontamination,
