@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from patronage.llm import bpe, decontaminate, language_id, lattice_dedup, license_scan, ngram_jaccard, suffix_dedup, token_files, url_filter
+from patronage.llm import bpe, decontaminate, language_id, lattice_dedup, license_scan, lm_score, ngram_jaccard, suffix_dedup, token_files, url_filter
 from patronage.llm.oracle import ORACLE
 
 
@@ -30,6 +30,14 @@ def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(spark, _table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op3_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of every document under the word counts and the language model of six sevenths of them."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    model, counts = lm_score.fit(spark, docs.where(lm_score.is_training()))
+    found = lm_score.score(spark, docs, model, counts)
+    return found.withColumn("held_out", ~lm_score.is_training())
+
+
 def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents whose five-word shingle sets are similar by 0.8 or more."""
     return ngram_jaccard.link(spark, _table(spark, folder, "documents"))
@@ -71,6 +79,7 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_lm_score": op3_lm_score,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_license_scan": op5_license_scan,
     "op6_lattice_dedup": op6_lattice_dedup,
