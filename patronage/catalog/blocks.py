@@ -104,10 +104,19 @@ def _peer_average(b: B) -> DataFrame:
 
 
 def _days_since_first(b: B) -> DataFrame:
-    days = customer_days(delivered(b.orders).select("customer_id", "order_date"))
-    # at most one row per customer and calendar day
-    first = F.min("order_date").over(W.partitionBy("customer_id"))
-    return days.select("customer_id", "order_date", "orders", F.datediff("order_date", first).alias("days_since_first"))
+    """Every order with the days since its customer's first: the minimum is combined before the shuffle and joined back."""
+    good = delivered(b.orders).select("order_id", "customer_id", "order_date")
+    first = good.groupBy("customer_id").agg(F.min("order_date").alias("first_order_date"))
+    since = F.datediff("order_date", "first_order_date").alias("days_since_first")
+    return good.join(first, "customer_id").select("order_id", "customer_id", "order_date", since)
+
+
+def _by_year(b: B) -> DataFrame:
+    """One column for each year that the orders have; the years are a few values, read first."""
+    dated = b.orders.withColumn("year", F.year("order_date"))
+    years = sorted(r["year"] for r in dated.select("year").distinct().collect() if r["year"] is not None)
+    wide = dated.groupBy("payment_method").pivot("year", years).agg(F.sum("net_order_value"))
+    return wide.select("payment_method", *[F.col(f"`{y}`").alias(f"y{y}") for y in years])
 
 
 def _theta(b: B) -> DataFrame:
@@ -256,11 +265,7 @@ AGGREGATES: dict[str, Callable[[B], DataFrame]] = {
         b.orders, "payment_method", "order_status", ["Delivered", "Refunded", "Cancelled"]
     ),
     "independence_test": _independence,
-    "pivot_matrix": lambda b: b.orders.withColumn("year", F.year("order_date"))
-    .groupBy("payment_method")
-    .pivot("year", list(range(1995, 2002)))
-    .agg(F.sum("net_order_value"))
-    .select("payment_method", *[F.col(f"`{y}`").alias(f"y{y}") for y in range(1995, 2002)]),
+    "pivot_matrix": _by_year,
     "first_per_group": lambda b: rel.pick_nth(
         delivered(b.orders).select("customer_id", "order_id", "order_date"), "customer_id", _by_time(), 1
     ).select("customer_id", F.col("order_id").alias("first_order_id")),

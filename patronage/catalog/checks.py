@@ -70,7 +70,7 @@ def _flag_sink(b: B) -> DataFrame:
 
 
 def _parquet_sink(b: B) -> DataFrame:
-    """Orders written by month and read back for one year: only that year's folders are listed."""
+    """Orders written by month and read back."""
     path = _scratch(b)
     files.write_parquet(enrichment.with_calendar(b.orders), path, partition_by=["order_month"])
     kept = b.spark.read.parquet(path)
@@ -101,11 +101,14 @@ def _preview(b: B) -> DataFrame:
 
 
 def _reconcile(b: B) -> DataFrame:
-    loaded = _through_csv(b, b.orders, ORDER_CSV)
-    return quality.reconcile_counts(
-        {"orders": b.raw("orders"), "customers": b.raw("customer"), "restaurants": b.raw("supplier")},
-        {"orders": loaded, "customers": b.customer_dimension, "restaurants": b.restaurants},
-    )
+    """All six tables against what was written of them: orders as CSV, the others as Parquet."""
+    tables = _model(b)
+    loaded = {"orders": _through_csv(b, b.orders, ORDER_CSV)}
+    for name in tables.keys() - loaded.keys():
+        path = _scratch(b)
+        files.write_parquet(tables[name], path)
+        loaded[name] = b.spark.read.schema(tables[name].schema).parquet(path)
+    return quality.reconcile_counts(tables, loaded)
 
 
 def _primary_keys(b: B) -> DataFrame:
@@ -122,8 +125,13 @@ def _primary_keys(b: B) -> DataFrame:
 
 
 def _summary(b: B) -> DataFrame:
-    found = quality.numeric_summary(b.facts, ["net_order_value", "delivery_delay_min", "order_hour"])
-    return found.select("metric", "n", *[F.round(c, 2).alias(c) for c in found.columns if c not in ("metric", "n")])
+    valued = b.orders.join(enrichment.order_values(b.order_items), "order_id", "left")
+    parts = [
+        quality.numeric_summary(valued, ["gross_order_value", "net_order_value", "items_count"]),
+        quality.numeric_summary(b.delivery_events, ["delivery_delay_min", "promised_delivery_min"]),
+    ]
+    rounded = [p.select("metric", "n", *[F.round(F.col(c).cast("double"), 2).alias(c) for c in p.columns[2:]]) for p in parts]
+    return rounded[0].union(rounded[1])
 
 
 def _six_places(df: DataFrame) -> DataFrame:

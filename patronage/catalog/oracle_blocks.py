@@ -112,7 +112,8 @@ SELECT CAST(count(*) FILTER (strict) AS DOUBLE) / count(*) AS share FROM flag, e
 SELECT strftime(signup, '%Y-%m') AS cohort_month, count(*) AS n FROM person SEMI JOIN diary USING (cid) GROUP BY ALL""",
     "contingency_table": """
 SELECT o_orderpriority AS payment_method, count(*) FILTER (o_orderstatus = 'F') AS "n_Delivered",
-       count(*) FILTER (o_orderstatus = 'O') AS "n_Refunded", count(*) FILTER (o_orderstatus = 'P') AS "n_Cancelled"
+       count(*) FILTER (o_orderstatus = 'O') AS "n_Refunded", count(*) FILTER (o_orderstatus = 'P') AS "n_Cancelled",
+       count(*) FILTER (o_orderstatus IS NULL OR o_orderstatus NOT IN ('F', 'O', 'P')) AS n_other
 FROM orders GROUP BY ALL""",
     "independence_test": """
 WITH obs AS (SELECT o_orderpriority AS p, o_orderstatus AS s, count(*)::DOUBLE AS o FROM orders GROUP BY ALL),
@@ -140,9 +141,9 @@ m AS (SELECT strftime(d, '%Y-%m') AS mo, year(d) AS y, sum(cents) AS c FROM good
 SELECT mo AS order_month, {_MONEY.format('c')} AS gmv,
        {_MONEY.format('sum(c) OVER (PARTITION BY y)')} / count(*) OVER (PARTITION BY y) AS year_mean FROM m""",
     "group_minimum_on_rows": MODEL + """
-SELECT cid AS customer_id, d::VARCHAR AS order_date, count(*) AS orders,
+SELECT oid AS order_id, cid AS customer_id, d::VARCHAR AS order_date,
        date_diff('day', min(d) OVER (PARTITION BY cid), d) AS days_since_first
-FROM good GROUP BY cid, d""",
+FROM good""",
     "first_index_at_target": _PARETO + """
 SELECT t::BIGINT AS target, min(r) AS rnk FROM cum, (VALUES (25), (50), (75), (100)) v(t) WHERE 100 * cs >= t * total GROUP BY t""",
     "top_fraction_rows": _PARETO + f"""
@@ -190,7 +191,7 @@ SELECT oid AS order_id, month(d) AS month, (month(d) IN (7, 8, 9))::INT::BIGINT
     "clip_and_fill": MODEL + """
 SELECT oid AS order_id, least(greatest(coalesce(delay, 0) - 6, -5), 30)::DOUBLE AS clipped FROM fact""",
     "compact_money": HISTORY + """
-SELECT cid AS customer_id, CASE
+SELECT cid AS customer_id, '₹' || CASE
     WHEN cents >= 1000000000 THEN CAST(((2 * cents + 10000000) // 20000000)::DECIMAL(38,0) / 100 AS DECIMAL(38,2)) || 'Cr'
     WHEN cents >= 10000000 THEN CAST(((2 * cents + 100000) // 200000)::DECIMAL(38,0) / 100 AS DECIMAL(38,2)) || 'L'
     ELSE format('{:,}', ((cents + 50) // 100)::BIGINT) END AS money FROM diary""",

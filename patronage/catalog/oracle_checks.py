@@ -44,14 +44,14 @@ def _key(label: str, table: str, key: str) -> str:
     )
 
 
-def _summary(metric: str, column: str) -> str:
+def _summary(table: str, metric: str, column: str) -> str:
     places = ", ".join(
         f"round(quantile_cont({column}::DOUBLE, {p}), 2) AS {n}" for n, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))
     )
     return (
         f"SELECT '{metric}' AS metric, count({column}) AS n, round(avg({column}::DOUBLE), 2) AS mean, "
         f"round(stddev_samp({column}::DOUBLE), 2) AS std, round(min({column})::DOUBLE, 2) AS min, {places}, "
-        f"round(max({column})::DOUBLE, 2) AS max FROM fact"
+        f"round(max({column})::DOUBLE, 2) AS max FROM {table}"
     )
 
 
@@ -72,7 +72,10 @@ SELECT cid AS customer_id, CAST(cents AS DOUBLE) / 100 AS net_spend FROM diary O
     "row_count_reconciliation": """
 SELECT 'orders' AS table_name, count(*) AS expected, count(*) AS actual, 'OK' AS status FROM orders
 UNION ALL SELECT 'customers', count(*), count(*), 'OK' FROM customer
-UNION ALL SELECT 'restaurants', count(*), count(*), 'OK' FROM supplier""",
+UNION ALL SELECT 'restaurants', count(*), count(*), 'OK' FROM supplier
+UNION ALL SELECT 'order_items', count(*), count(*), 'OK' FROM lineitem
+UNION ALL SELECT 'delivery_events', count(DISTINCT l_orderkey), count(DISTINCT l_orderkey), 'OK' FROM lineitem
+UNION ALL SELECT 'discounts', count(DISTINCT l_orderkey), count(DISTINCT l_orderkey), 'OK' FROM lineitem WHERE l_discount >= 0.09""",
     "foreign_key_orphans": " UNION ALL ".join(
         [
             _orphans("orders.customer_id -> customers", "orders", "o_custkey", "customer", "c_custkey"),
@@ -129,9 +132,21 @@ c AS (
     FROM fact GROUP BY cid HAVING count(delay) > 0)
 SELECT round(CAST(sum(a) FILTER (n = 1) AS DOUBLE) / count(*) FILTER (n = 1), 6) AS avg_delay_one_order,
        round(CAST(sum(a) FILTER (n > 1) AS DOUBLE) / count(*) FILTER (n > 1), 6) AS avg_delay_several FROM c""",
-    "numeric_summary": MODEL + " "
+    "numeric_summary": """
+WITH line AS (
+    SELECT l_orderkey AS oid, count(*) AS items, CAST(sum(CAST(l_quantity AS BIGINT) * CAST(round(100 * l_extendedprice) AS BIGINT)) AS DOUBLE) / 100 AS gross,
+           max(l_quantity) AS delay, 25 + max(l_linenumber) AS promised
+    FROM lineitem GROUP BY l_orderkey
+), valued AS (SELECT round(o_totalprice, 2) AS net, line.* FROM orders LEFT JOIN line ON oid = o_orderkey)
+"""
     + " UNION ALL ".join(
-        [_summary("net_order_value", "net"), _summary("delivery_delay_min", "delay"), _summary("order_hour", "hr")]
+        [
+            _summary("valued", "gross_order_value", "gross"),
+            _summary("valued", "net_order_value", "net"),
+            _summary("valued", "items_count", "items"),
+            _summary("line", "delivery_delay_min", "delay"),
+            _summary("line", "promised_delivery_min", "promised"),
+        ]
     ),
     "table_row_counts": """
 SELECT 'customers' AS table_name, count(*) AS n FROM customer

@@ -46,7 +46,7 @@ def count_if(condition: Column) -> Column:
 
 
 def compact_money(amount: Column) -> Column:
-    """1e7 and up in crore (Cr), 1e5 and up in lakh (L), else whole units with Indian grouping."""
+    """The currency sign, then 1e7 and up in crore (Cr), 1e5 and up in lakh (L), else whole units with Indian grouping."""
     two_places = "decimal(38,2)"
     plain = F.round(amount.cast(two_places), 0).cast("decimal(38,0)")
     digits = F.abs(plain).cast("string")
@@ -54,8 +54,9 @@ def compact_money(amount: Column) -> Column:
     pairs = F.regexp_replace(head, r"(?<=\d)(?=(\d\d)+$)", ",")
     grouped = F.when(F.length(digits) > 3, F.concat(pairs, F.lit(","), F.right(digits, F.lit(3)))).otherwise(digits)
     signed = F.concat(F.when(plain < 0, F.lit("-")).otherwise(F.lit("")), grouped)
-    return (
+    text = (
         F.when(amount >= 10_000_000, F.concat((amount / 10_000_000).cast(two_places).cast("string"), F.lit("Cr")))
         .when(amount >= 100_000, F.concat((amount / 100_000).cast(two_places).cast("string"), F.lit("L")))
         .otherwise(signed)
     )
+    return F.concat(F.lit("₹"), text)

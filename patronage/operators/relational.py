@@ -53,10 +53,11 @@ def listed(spark: SparkSession, key: str, values: Sequence[str], order: str) ->
 def reindexed(df: DataFrame, key: str, values: Sequence[str], order: str | None = None) -> DataFrame:
     """One row per listed key, in the given order; keys without a row have NULLs.
 
-    ``df`` is already grouped by the label, so it has at most one row per label.
+    ``df`` is already grouped by the label, so what is left of it here has at most one row per listed key.
     """
     order = order or f"{key}_order"
-    return listed(df.sparkSession, key, values, order).join(F.broadcast(df), key, "left").orderBy(order)
+    asked = df.filter(F.col(key).isin(*values))
+    return listed(df.sparkSession, key, values, order).join(F.broadcast(asked), key, "left").orderBy(order)
 
 
 def orphan_rows(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
@@ -84,6 +85,7 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def contingency(df: DataFrame, row: str, column: str, values: Sequence) -> DataFrame:
-    """Counts per row label, one column per listed value."""
-    wide = df.groupBy(row).pivot(column, list(values)).agg(F.count(F.lit(1)))
-    return wide.select(row, *[F.coalesce(F.col(f"`{v}`"), F.lit(0)).cast("bigint").alias(f"n_{v}") for v in values])
+    """Counts per row label: one column per listed value, and ``n_other`` for rows of any other value or none."""
+    given = [F.sum(F.when(F.col(column) == F.lit(v), 1).otherwise(0)).alias(f"n_{v}") for v in values]
+    other = F.sum(F.when(F.coalesce(F.col(column).isin(*values), F.lit(False)), 0).otherwise(1)).alias("n_other")
+    return df.groupBy(row).agg(*given, other)

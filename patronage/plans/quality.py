@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from patronage.functions import calendar, numeric
 from patronage.operators.facts import customer_totals
@@ -162,27 +163,33 @@ def delay_by_order_count(facts: DataFrame) -> DataFrame:
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column: count, mean, sample deviation, min, quartiles (linear), max. Columns are numeric.
 
-    One pass over the rows makes a histogram of distinct values; all figures come from it.
+    Values keep their precision: whole numbers and decimals meet in a decimal of the largest scale,
+    and as soon as one column is floating, all are doubles. Count, mean, deviation and bounds come from one
+    plain aggregate over the rows; quartiles from a histogram of distinct values.
     """
+    kinds = [df.schema[c].dataType for c in columns]
+    floating = any(isinstance(k, (T.DoubleType, T.FloatType)) for k in kinds)
+    scale = max((k.scale for k in kinds if isinstance(k, T.DecimalType)), default=0)
+    common = "double" if floating else f"decimal(38,{scale})"
     value = F.col("value")
-    long = df.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("decimal(18,2)").alias("value")) for c in columns])
-        ).alias("cell")
-    ).select("cell.metric", "cell.value")
-    histogram = value_histogram(long.filter(value.isNotNull()), "metric", "value")
-    # exact sums, so the deviation does not depend on the order of addition
-    square = (value * value).cast("decimal(37,4)")
-    sums = histogram.groupBy("metric").agg(
-        F.sum("n").alias("n"),
-        F.sum((value * F.col("n")).cast("decimal(38,2)")).cast("double").alias("_sum"),
-        F.sum((square * F.col("n")).cast("decimal(38,4)")).cast("double").alias("_squares"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-        *[exact_quantile("value", p).alias(name) for name, p in QUARTILES.items()],
-    )
-    n = F.col("n")
-    variance = (F.col("_squares") - F.col("_sum") * F.col("_sum") / n) / F.nullif(n - 1, F.lit(0).cast("bigint"))
-    return sums.select(
-        "metric", n, (F.col("_sum") / n).alias("mean"), F.sqrt(variance).alias("std"), "min", *QUARTILES, "max"
+    cells = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast(common).alias("value")) for c in columns])
+    long = df.select(F.explode(cells).alias("cell")).select("cell.metric", "cell.value").filter(value.isNotNull())
+    moments = df.agg(
+        F.map_from_arrays(
+            F.array(*[F.lit(c) for c in columns]),
+            F.array(*[
+                F.struct(
+                    F.count(c).alias("n"),
+                    F.avg(F.col(c).cast("double")).alias("mean"),
+                    F.stddev_samp(F.col(c).cast("double")).alias("std"),
+                    F.min(F.col(c).cast(common)).alias("min"),
+                    F.max(F.col(c).cast(common)).alias("max"),
+                )
+                for c in columns
+            ]),
+        ).alias("m")
+    ).select(F.explode("m").alias("metric", "v")).select("metric", "v.*")
+    quartiles = value_histogram(long, "metric", "value").groupBy("metric").agg(
+        *[exact_quantile("value", p).alias(name) for name, p in QUARTILES.items()]
     )
+    return moments.filter("n > 0").join(quartiles, "metric").select("metric", "n", "mean", "std", "min", *QUARTILES, "max")

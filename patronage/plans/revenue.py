@@ -107,17 +107,10 @@ def concentration(sorted_customers: Ordered, targets: Sequence[int] = (50, 80))
     )
 
 
-def lorenz_curve(sorted_customers: Ordered, points: int | None = None) -> DataFrame:
-    """Points (x, y) of the curve: one per customer, or about ``points`` evenly spaced ranks.
-
-    Thinning drops points of the drawing only; every customer is in the sums. The last rank
-    is always kept.
-    """
+def lorenz_curve(sorted_customers: Ordered) -> DataFrame:
+    """Points (x, y) of the curve, one per customer."""
     curve = cumulative(sorted_customers)
     n = F.col("rows_total")
-    if points is not None:
-        step = F.greatest(F.call_function("div", n, F.lit(points)), F.lit(1))
-        curve = curve.filter((F.col("rnk") % step == 0) | (F.col("rnk") == n))
     return curve.select(
         "rnk",
         numeric.pct(F.col("rnk"), n).alias("customers_pct"),

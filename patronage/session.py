@@ -22,6 +22,8 @@ def build_session(app: str = "patronage", cpus: int | None = None, **conf: str)
         "spark.ui.enabled": "false",
     }
     settings.update(conf)
+    # one machine runs everything here, so its own folder is one that all tasks reach
+    settings.setdefault("spark.checkpoint.dir", tempfile.mkdtemp(prefix=f"{app}-shared-"))
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     for key, value in settings.items():
         builder = builder.config(key, value)
@@ -33,16 +35,13 @@ def build_session(app: str = "patronage", cpus: int | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, for checkpoints and written intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. A temporary folder stands in for it
-    only where nothing is set and the master is local, that is, in tests.
+    It is named in ``spark.checkpoint.dir``; without it the library stops, on any master.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
     named = spark.conf.get("spark.checkpoint.dir", None)
     if current is None and named is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        named = tempfile.mkdtemp(prefix="patronage-checkpoint-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     if current is None:
         context.setCheckpointDir(named)
         current = context.getCheckpointDir()

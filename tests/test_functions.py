@@ -2,7 +2,7 @@
 
 import math
 from datetime import date, datetime
-from decimal import ROUND_HALF_UP, Decimal
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 import pytest
 from hypothesis import given, settings
@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from patronage.functions import bands, calendar, numeric
+from patronage.operators import relational
 from patronage.operators.independence import chi_square, upper_tail
 from patronage.plans import enrichment
 
@@ -65,7 +66,7 @@ def test_money_text(spark):
     values = ["241460000.00", "120.40", "99999.50", "250000.00", "-1234567.00", "999.00", "10000000.00"]
     df = spark.createDataFrame([(Decimal(v),) for v in values], "m decimal(22,2)")
     got = [r[0] for r in df.select(numeric.compact_money(F.col("m"))).collect()]
-    assert got == ["24.15Cr", "120", "1,00,000", "2.50L", "-12,34,567", "999", "1.00Cr"]
+    assert got == ["₹24.15Cr", "₹120", "₹1,00,000", "₹2.50L", "₹-12,34,567", "₹999", "₹1.00Cr"]
 
 
 def test_calendar(spark):
@@ -114,3 +115,42 @@ def test_chi_square(spark, cells, statistic, dof):
     row = chi_square(spark.createDataFrame(cells, "r string, c string, n long"), "r", "c", "n").first()
     assert row.statistic == pytest.approx(statistic) and row.dof == dof
     assert row.p_value == pytest.approx(_tail(statistic, dof) if dof else 1.0)
+
+
+def exact_tail(x, dof):
+    """P(X >= x) of the chi-square distribution, by the finite sum over steps of two degrees, in 60 digits."""
+    with localcontext() as context:
+        context.prec = 60
+        half = Decimal(x) / 2
+        if dof % 2:
+            root = half.sqrt()
+            total = Decimal(math.erfc(float(root)))
+            term = 2 * root * (-half).exp() / Decimal("3.14159265358979323846264338327950288419716939937510").sqrt()
+            start = Decimal(3) / 2
+        else:
+            total = term = (-half).exp()
+            term = term * half
+            start = Decimal(2)
+        for k in range((dof - 1) // 2):
+            total += term
+            term = term * half / (start + k)
+        return float(total)
+
+
+def test_chi_square_tail_at_many_degrees_of_freedom(spark):
+    points = [(float(f), k) for k in (*range(1, 12), 50, 99, 300, 344, 429, 1000, 1999, 2000) for f in (k * 0.5, k * 0.97, k, k * 1.03, k * 1.2, k * 1.5 + 3)]
+    df = spark.createDataFrame(points, "x double, k int").select("x", "k", upper_tail(F.col("x"), F.col("k")).alias("p"))
+    for r in df.collect():
+        assert 0 <= r.p <= 1 and r.p == pytest.approx(exact_tail(r.x, r.k), rel=1e-8, abs=1e-13), (r.x, r.k)
+
+
+def test_chi_square_of_a_large_table(spark):
+    cells = [(f"r{i}", f"c{j}", 50 + (i * 7 + j * 3) % 11) for i in range(40) for j in range(12)]
+    row = chi_square(spark.createDataFrame(cells, "r string, c string, n long"), "r", "c", "n").first()
+    assert row.dof == 39 * 11 and 0 <= row.p_value <= 1 and row.p_value == pytest.approx(exact_tail(row.statistic, row.dof), rel=1e-6)
+
+
+def test_values_that_are_not_listed_are_counted(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", "z"), ("b", "z"), ("b", None)], "r string, c string")
+    found = {r.r: (r.n_x, r.n_y, r.n_other) for r in relational.contingency(df, "r", "c", ["x", "y"]).collect()}
+    assert found == {"a": (1, 0, 1), "b": (0, 0, 2)}

@@ -96,3 +96,14 @@ def test_flags_and_views(spark):
     df = files.flags_as_numbers(spark.createDataFrame([(True,), (False,)], "f boolean"))
     files.register_views({"flag_view": df})
     assert sorted(r.f for r in spark.sql("SELECT f FROM flag_view").collect()) == [0, 1]
+
+
+def test_summary_keeps_small_and_large_values(spark):
+    rows = [(Decimal("0.001000"), 10**17, 1.5), (Decimal("0.004000"), 3, None), (Decimal("0.012600"), None, 2.5)]
+    df = spark.createDataFrame(rows, "a decimal(18,6), b bigint, c double")
+    exact = {r.metric: r for r in quality.numeric_summary(df, ["a", "b"]).collect()}
+    assert (exact["a"].n, float(exact["a"].min), float(exact["a"].max)) == (3, 0.001, 0.0126)
+    assert exact["a"].mean == pytest.approx(0.0176 / 3) and exact["a"].q50 == pytest.approx(0.004)
+    assert exact["b"].n == 2 and int(exact["b"].max) == 10**17
+    mixed = {r.metric: r for r in quality.numeric_summary(df, ["a", "c"]).collect()}
+    assert (mixed["c"].min, mixed["c"].q50, mixed["c"].max) == (1.5, 2.0, 2.5)

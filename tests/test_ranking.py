@@ -101,12 +101,6 @@ def test_crossing_with_negative_spend(spark, layout):
     assert found == {50: 1, 60: 1, 100: 2}
 
 
-def test_thinned_curve_keeps_the_last_point(spark):
-    b = BoundTables(spark, "/root/testdata/sf0.001")
-    curve = revenue.lorenz_curve(revenue.by_spend(b.orders), points=10).collect()
-    assert 10 <= len(curve) <= 12 and max(r.customers_pct for r in curve) == 100.0
-
-
 def test_cohort_offset_zero_is_everyone(spark):
     b = BoundTables(spark, "/root/testdata/sf0.01")
     first = cohorts.cohort_retention(b.orders, b.customers).filter("months_since_first = 0")
