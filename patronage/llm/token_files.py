@@ -3,7 +3,8 @@
 Documents are range partitioned by id and tokenized after the shuffle. A block holds whole documents,
 about ``BLOCK_IDS`` ids or one longer document. Files are Parquet: each row is a block with its place
 (shard and number in it), the ids and lengths of its documents, and the packed bytes. Spark's commit
-protocol publishes them, so a lost executor leaves no half-written file.
+protocol publishes them, so a lost executor leaves no half-written file. A block also says how many ids
+stand before it in its shard; only the totals of shards are added up when the files are read.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from patronage.llm.pieces import Memory, encode_slice, small
 from patronage.session import shared_dir
 
 BLOCK_IDS = 1 << 16
-_FILES = "shard int, block int, doc_ids array<long>, lengths array<long>, ids binary"
+_FILES = "shard int, block int, before long, doc_ids array<long>, lengths array<long>, ids binary"
 
 _tokenizers: dict = {}
 _lock = threading.Lock()
@@ -44,26 +45,27 @@ class _Encoder:
             self.sizes[number] = len(token) if all(c in units for c in token) else -1
 
     def __call__(self, strings: list[str]) -> list[bytes]:
-        joined, alone = [], []
-        for at, text in enumerate(strings):
-            (joined if len(text) > 1 and text[0] == " " and not text[1].isspace() and not text[-1].isspace() and len(text) < 256 else alone).append(at)
+        # a space before a visible character begins a new match whatever stands before it
+        joined = [at for at, text in enumerate(strings) if text[:1] == " " and text[1:2].strip()]
         out: list = [b""] * len(strings)
+        taken = set(joined) if len(joined) < len(strings) else ()
+        alone = [at for at in range(len(strings)) if at not in taken] if len(joined) < len(strings) else []
         for begin in range(0, len(alone), 1000):
             part = alone[begin : begin + 1000]
             for at, found in zip(part, self.tool.encode_batch_fast([strings[k] for k in part], add_special_tokens=False)):
                 out[at] = np.array(found.ids, "<u4").tobytes()
-        for begin in range(0, len(joined), 500):
-            part = joined[begin : begin + 500]
+        for begin in range(0, len(joined), 1000):
+            part = joined[begin : begin + 1000]
             texts = [strings[k] for k in part]
             ids = np.array(self.tool.encode("".join(texts), add_special_tokens=False).ids, np.int64)
             ends = np.cumsum(self.sizes[ids])
-            want = np.cumsum([len(t.encode()) for t in texts])
+            want = np.cumsum(list(map(len, map(str.encode, texts))))
             cuts = np.searchsorted(ends, want) + 1
             if len(ends) and ((self.sizes[ids] < 0).any() or (ends[np.minimum(cuts, len(ends)) - 1] != want).any()):
                 raise ValueError("the tokenizer merged over a cut: its pattern is not the one expected")
-            before = 0
-            for at, cut in zip(part, cuts):
-                out[at] = ids[before:cut].astype("<u4").tobytes()
+            raw, before = ids.astype("<u4").tobytes(), 0
+            for at, cut in zip(part, (4 * cuts).tolist()):
+                out[at] = raw[before:cut]
                 before = cut
         return out
 
@@ -85,7 +87,7 @@ def _encoder(shared) -> _Encoder:
 def _blocks(batches: Iterator[pa.RecordBatch], shared, end_id: int) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
-    shard, number = TaskContext.get().partitionId(), 0
+    shard, number, before = TaskContext.get().partitionId(), 0, 0
     docs: list[np.ndarray] = []
     lengths: list[np.ndarray] = []
     ids: list[np.ndarray] = []
@@ -95,6 +97,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], shared, end_id: int) -> Iterator[
         row = {
             "shard": pa.array([shard], pa.int32()),
             "block": pa.array([number], pa.int32()),
+            "before": pa.array([before], pa.int64()),
             "doc_ids": pa.array([np.concatenate(docs).tolist()], pa.list_(pa.int64())),
             "lengths": pa.array([np.concatenate(lengths)], pa.list_(pa.int64())),
             "ids": pa.array([simple8b.pack(np.concatenate(ids))], pa.binary()),
@@ -103,7 +106,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], shared, end_id: int) -> Iterator[
         return pa.RecordBatch.from_arrays(list(row.values()), list(row))
 
     tool = _encoder(shared)
-    for batch in small(batches, "text", 4 << 20):
+    for batch in small(batches, "text", 8 << 20):
         found, edges = encode_slice(batch.column("text"), tool.memory, tool)
         ended = np.insert(found, edges[1:], end_id)
         edges = edges + np.arange(len(edges))
@@ -118,7 +121,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], shared, end_id: int) -> Iterator[
             held += int(edges[stop] - edges[row])
             if held >= BLOCK_IDS:
                 yield flush()
-                number, held = number + 1, 0
+                number, before, held = number + 1, before + held, 0
             row = stop
     if docs:
         yield flush()
@@ -132,7 +135,7 @@ def write(spark: SparkSession, docs: DataFrame, tokenizer: str, end_id: int, fol
     """
     with open(tokenizer, encoding="utf-8") as file:
         shared = spark.sparkContext.broadcast({"name": tokenizer, "content": file.read()})
-    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(lambda it: _blocks(it, shared, end_id), _FILES).write.option("compression", "zstd").parquet(folder)
 
 
@@ -157,17 +160,14 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_digests(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of each document, from the files alone.
 
-    ``start`` adds up the blocks before in the shard (a window per shard) and the shards before (a
-    window over one row per shard, of which there are as many as shuffle partitions).
+    ``start`` adds the shards before, by a window over one row per shard. There are as many shards as
+    shuffle partitions, so that table is broadcast.
     """
     files = spark.read.schema(_FILES).parquet(folder)
-    sizes = files.select("shard", "block", F.aggregate("lengths", F.lit(0).cast("long"), lambda a, b: a + b).alias("n"))
-    order = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    inside = sizes.withColumn("inside", F.coalesce(F.sum("n").over(order), F.lit(0)))
-    shards = sizes.groupBy("shard").agg(F.sum("n").alias("n"))
-    earlier = shards.withColumn("earlier", F.coalesce(F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    places = inside.join(earlier.select("shard", "earlier"), "shard").select("shard", "block", (F.col("inside") + F.col("earlier")).alias("before"))
-    return files.join(places, ["shard", "block"]).select("doc_ids", "lengths", "ids", "before").mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    shards = files.select("shard", F.aggregate("lengths", F.lit(0).cast("long"), lambda a, b: a + b).alias("n")).groupBy("shard").agg(F.sum("n").alias("n"))
+    earlier = shards.select("shard", F.coalesce(F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("earlier"))
+    placed = files.join(F.broadcast(earlier), "shard").select("doc_ids", "lengths", "ids", (F.col("before") + F.col("earlier")).alias("before"))
+    return placed.mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def write_and_read(spark: SparkSession, docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
