@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from patronage.llm.pieces import small
 from patronage.llm.shared import bitmap, in_bitmap, stored
 from patronage.llm.suffix_runs import GRAM, Records, anchors, extract, front_code, merged, sorted_run
 from patronage.llm.text import BYTE_WORDS, mix, powers, slices, texts
@@ -59,7 +60,7 @@ def _packed_hashes(batches: Iterator[pa.RecordBatch], window: int, ranges: int,
         rows, _, _, _, hashes = anchors(data, offsets, window)
         held.append((hashes, batch.column("part").to_numpy()[rows].astype(np.int64), batch.column("doc_id").to_numpy()[rows]))
         count += len(rows)
-        if count >= 10 * RUN:
+        if count >= 3 * RUN:
             yield flush()
             count = 0
     if count:
@@ -111,7 +112,7 @@ def _repeated(batches: Iterator[pa.RecordBatch], kind) -> Iterator[pa.RecordBatc
 def _sample(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     for _, data, offsets in slices(batches):
         rows, place, _, _, _ = anchors(data, offsets, window)
-        found = [data[p : p + GRAM].tobytes() for p in place[:: max(1, len(place) // (20 * len(offsets)) + 1)]]
+        found = [data[p : p + GRAM].tobytes() for p in place[:: max(1, len(place) // (40 * len(offsets)) + 1)]]
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["gram"])
 
 
@@ -234,7 +235,9 @@ def _spans(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Record
     for _, held in _runs_of(batches, "target"):
         runs = [b for batch in held for b in batch.column("runs").to_pylist()]
         done = [np.frombuffer(b, "<i8").reshape(3, -1) for batch in held for b in batch.column("spans").to_pylist()]
+        held.clear()
         yield from _joined(*np.concatenate(done, axis=1))
+        del done
         for part in merged(runs):
             common, right_size, left, left_size, doc, row, place = part
             yield from _joined(*_removed(common, right_size, left, left_size, doc, row, place, window))
@@ -259,8 +262,7 @@ def spans(spark: SparkSession, docs: DataFrame, window: int = WINDOW) -> DataFra
 
     ``docs`` has doc_id, row_id and text.
     """
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = 4 * ranges
+    ranges = parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = np.uint16 if 2 * parts < 2**16 else np.uint32
     docs = docs.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int"))
     bounds = splitters(docs, window, ranges)
@@ -276,7 +278,7 @@ def spans(spark: SparkSession, docs: DataFrame, window: int = WINDOW) -> DataFra
 
 
 def _cut(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches, "text"):
         data, offsets = texts(batch.column("text"))
         lists = batch.column("spans")
         edges = np.asarray(lists.offsets, np.int64)

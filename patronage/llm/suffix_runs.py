@@ -6,7 +6,7 @@ at most ``WINDOW`` bytes. With it go the bytes before the anchor back to the sta
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 
@@ -124,10 +124,10 @@ def front_code(records: Records) -> bytes:
 
 
 class Run:
-    """A decoded block: suffixes as bytes for the loser tree, the rest as arrays."""
+    """A block that is read from its start on: the suffix at the head for the loser tree, the rest in slices."""
 
     def __init__(self, block: bytes):
-        count, docs, width, left_width = (int(x) for x in np.frombuffer(block, "<i8", 4))
+        self.count, docs, _, self.left_width = (int(x) for x in np.frombuffer(block, "<i8", 4))
         at = 32
 
         def read(kind, n):
@@ -136,35 +136,52 @@ class Run:
             at += found.nbytes
             return found
 
-        table = read("<i8", 2 * docs).reshape(-1, 2)
-        index, place = read("<u4", count), read("<i8", count)
-        self.lcp, right_size, left_size = (read(np.uint8, count) for _ in range(3))
-        tails, lefts = (right_size.astype(np.int64) - self.lcp), left_size.astype(np.int64)
-        tail_bytes = read(np.uint8, int(tails.sum())).tobytes()
-        left = np.zeros((count, left_width), np.uint8)
-        left[np.arange(left_width) < lefts[:, None]] = read(np.uint8, int(lefts.sum()))
-        self.suffixes, before, begin = [], b"", 0
-        for common, size in zip(self.lcp.tolist(), tails.tolist()):
-            before = before[:common] + tail_bytes[begin : begin + size]
-            begin += size
-            self.suffixes.append(before)
-        self.rest = (right_size, left, left_size, table[index, 0], table[index, 1], place)
-
-
-def merge(suffixes: list[list[bytes]], lcps: list[list[int]]) -> Iterator[tuple[int, int]]:
+        self.table = read("<i8", 2 * docs).reshape(-1, 2)
+        self.index, self.place = read("<u4", self.count), read("<i8", self.count)
+        self.lcp, self.right_size, self.left_size = (read(np.uint8, self.count) for _ in range(3))
+        self.tails = memoryview(block)[at : at + int((self.right_size.astype(np.int64) - self.lcp).sum())]
+        at += len(self.tails)
+        self.lefts = read(np.uint8, int(self.left_size.sum(dtype=np.int64)))
+        self.at, self.begin, self.taken, self.left_begin = 0, 0, 0, 0
+
+    def head(self, before: bytes) -> tuple[bytes, int]:
+        """The next suffix and what it has in common with ``before``, the one before it; common is -1 at the end."""
+        if self.at == self.count:
+            return b"", -1
+        common = int(self.lcp[self.at])
+        size = int(self.right_size[self.at]) - common
+        suffix = before[:common] + bytes(self.tails[self.begin : self.begin + size])
+        self.begin += size
+        self.at += 1
+        return suffix, common
+
+    def take(self, count: int) -> tuple[np.ndarray, ...]:
+        """What belongs to the next ``count`` suffixes: sizes, bytes before, doc, row, place."""
+        part = slice(self.taken, self.taken + count)
+        self.taken += count
+        sizes = self.left_size[part].astype(np.int64)
+        left = np.zeros((count, self.left_width), np.uint8)
+        end = self.left_begin + int(sizes.sum())
+        left[np.arange(self.left_width) < sizes[:, None]] = self.lefts[self.left_begin : end]
+        self.left_begin = end
+        owner = self.table[self.index[part]]
+        return self.right_size[part], left, self.left_size[part], owner[:, 0], owner[:, 1], self.place[part]
+
+
+def merge(sources: list[Callable[[bytes], tuple[bytes, int]]]) -> Iterator[tuple[int, int]]:
     """Run and common prefix with the one before, of each suffix of all runs in order.
 
+    A source gives its next suffix and what that has in common with the one before, which it is handed.
     A loser tree over the heads of the runs. With each head goes the number of bytes that it has in
     common with the suffix given out last. Of two heads, the one with more in common comes first;
     only if both have the same number in common are bytes compared, from there on.
     """
-    runs = len(suffixes)
     size = 1
-    while size < max(1, runs):
+    while size < len(sources):
         size *= 2
-    heads = [s[0] if s else b"" for s in suffixes] + [b""] * (size - runs)
-    common = [0 if s else -1 for s in suffixes] + [-1] * (size - runs)
-    at = [0] * size
+    heads, common = [b""] * size, [-1] * size
+    for leaf, source in enumerate(sources):
+        heads[leaf], common[leaf] = source(b"")
 
     def less(a: int, b: int) -> tuple[bool, int]:
         """Whether head a comes first, and what both have in common; both share common[a] bytes."""
@@ -193,12 +210,7 @@ def merge(suffixes: list[list[bytes]], lcps: list[list[int]]) -> Iterator[tuple[
     # the heads that lost on the way up hold what they share with the head that beat them
     while common[top] >= 0:
         yield top, common[top]
-        at[top] += 1
-        place = at[top]
-        if place < len(suffixes[top]):
-            heads[top], common[top] = suffixes[top][place], lcps[top][place]
-        else:
-            common[top] = -1
+        heads[top], common[top] = sources[top](heads[top])
         node = (top + size) >> 1
         now = top
         while node:
@@ -224,23 +236,20 @@ def merged(blocks: list[bytes], part: int = 100_000) -> Iterator[tuple[np.ndarra
     """
     runs = [Run(b) for b in blocks]
     which, common = [], []
-    taken = np.zeros(len(runs), np.int64)
 
     def gather() -> tuple[np.ndarray, ...]:
         order = np.array(which, np.int64)
         fields = None
         for k in np.unique(order):
             mask = order == k
-            index = taken[k] + np.arange(int(mask.sum()))
-            chosen = [f[index] for f in runs[k].rest]
+            chosen = runs[k].take(int(mask.sum()))
             if fields is None:
                 fields = [np.zeros((len(order), *c.shape[1:]), c.dtype) for c in chosen]
             for field, values in zip(fields, chosen):
                 field[mask] = values
-            taken[k] += len(index)
         return (np.array(common, np.int64), *fields)
 
-    for run, lcp in merge([r.suffixes for r in runs], [r.lcp.tolist() for r in runs]):
+    for run, lcp in merge([r.head for r in runs]):
         if len(which) >= part and lcp < GRAM:
             yield gather()
             which, common = [], []

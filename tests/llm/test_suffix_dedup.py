@@ -66,10 +66,22 @@ def test_loser_tree_and_blocks():
         words = sorted(bytes(source.integers(97, 99, source.integers(0, 12)).astype(np.uint8)) for _ in range(size))
         runs.append((words, [0] + [len(os.path.commonprefix([a, b])) for a, b in zip(words, words[1:])]))
     at, out, shared = [0] * len(runs), [], []
-    for run, common in suffix_runs.merge([r[0] for r in runs], [r[1] for r in runs]):
-        out.append(runs[run][0][at[run]])
+
+    def source(k):
+        def head(before):
+            words, common = runs[k]
+            if at[k] == len(words):
+                return b"", -1
+            at[k] += 1
+            assert not before or before == words[at[k] - 2]
+            return words[at[k] - 1], common[at[k] - 1]
+
+        return head
+
+    for run, common in suffix_runs.merge([source(k) for k in range(len(runs))]):
+        out.append(runs[run][0][at[run] - 1])
         shared.append(common)
-        at[run] += 1
-    assert out == sorted(w for r in runs for w in r[0])
-    assert shared[1:] == [len(os.path.commonprefix([a, b])) for a, b in zip(out, out[1:])]
-    assert list(suffix_runs.merge([], [])) == []
+    words = sorted(w for r in runs for w in r[0])
+    assert out == words
+    assert shared[1:] == [len(os.path.commonprefix([a, b])) for a, b in zip(words, words[1:])]
+    assert list(suffix_runs.merge([])) == []
