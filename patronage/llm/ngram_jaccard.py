@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronage.llm.shared import bitmap, components, in_bitmap, stored
-from patronage.llm.text import mix, shingle_sets, slices
+from patronage.llm.text import mix, shingle_sets, slices, texts
 
 CELL_BITS = 22
 SLOT_BITS = 16
@@ -230,14 +230,14 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int, wanted: np.ndarray) ->
 
 def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keep = []
-        for left, right in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist()):
-            left, right = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-            both = np.concatenate((left, right))
+        (left, starts), (right, others) = texts(batch.column("left")), texts(batch.column("right"))
+        keep = np.zeros(batch.num_rows, bool)
+        for k in range(batch.num_rows):
+            both = np.concatenate((left[starts[k] : starts[k + 1]].view(np.uint64), right[others[k] : others[k + 1]].view(np.uint64)))
             both.sort()
             common = int((both[1:] == both[:-1]).sum())
-            keep.append(100 * common >= percent * (len(both) - common))
-        mask = pa.array(keep, pa.bool_())
+            keep[k] = 100 * common >= percent * (len(both) - common)
+        mask = pa.array(keep)
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], ["a", "b"])
 
 
