@@ -76,6 +76,43 @@ def primary_keys(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     return checked.withColumn("is_unique", F.col("surplus") == 0)
 
 
+def null_counts(tables: Mapping[str, DataFrame], columns: Mapping[str, Sequence[str]]) -> DataFrame:
+    """NULLs per table and column; one pass over each table."""
+
+    def one(name: str, df: DataFrame) -> DataFrame:
+        cells = [F.struct(F.lit(f"{name}.{c}").alias("column_name"), numeric.or_zero(numeric.count_if(F.col(c).isNull())).cast("bigint").alias("nulls")) for c in columns[name]]
+        return df.agg(F.array(*cells).alias("cells")).select(F.explode("cells").alias("cell")).select("cell.*")
+
+    return _stacked([one(name, tables[name]) for name in columns])
+
+
+def load_gate(
+    source: Mapping[str, DataFrame],
+    loaded: Mapping[str, DataFrame],
+    required: Mapping[str, Sequence[str]],
+    keys: Sequence[tuple[str, str]],
+    relations: Sequence[tuple[str, str, str]],
+) -> DataFrame:
+    """Every constraint of the load as a row: what was checked, on what, how many rows break it, OK or FAIL.
+
+    ``required`` lists columns that may not be NULL, ``keys`` pairs of table and unique column,
+    ``relations`` child table, key and parent table.
+    """
+    counts = reconcile_counts(source, loaded).select(
+        F.lit("row count").alias("check"),
+        F.col("table_name").alias("subject"),
+        F.coalesce(F.abs(F.col("expected") - F.col("actual")), F.lit(1)).cast("bigint").alias("faults"),
+    )
+    nulls = null_counts(loaded, required).select(F.lit("not null").alias("check"), F.col("column_name").alias("subject"), F.col("nulls").alias("faults"))
+    unique = _stacked([primary_keys({table: (loaded[table], key)}) for table, key in keys]).select(
+        F.lit("unique").alias("check"), F.col("key_name").alias("subject"), F.col("surplus").cast("bigint").alias("faults")
+    )
+    related = foreign_keys(loaded, relations).select(
+        F.lit("foreign key").alias("check"), F.col("relation").alias("subject"), F.col("orphans").alias("faults")
+    )
+    return _stacked([counts, nulls, unique, related]).withColumn("status", F.when(F.col("faults") == 0, "OK").otherwise("FAIL"))
+
+
 def order_coverage(orders: DataFrame, items: DataFrame, delivery: DataFrame) -> DataFrame:
     """Does every order have at least one item and exactly one delivery event?"""
     per_item = items.groupBy("order_id").agg(F.count(F.lit(1)).alias("_items"))

@@ -46,3 +46,10 @@ def shared_dir(spark: SparkSession) -> str:
         context.setCheckpointDir(named)
         current = context.getCheckpointDir()
     return named or current
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of written intermediate tables, on whatever file system it is."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)

@@ -10,20 +10,40 @@ from pyspark.sql import types as T
 
 from patronage.sources.schemas import SCHEMAS
 
+MOMENT_FORMAT = "yyyy-MM-dd HH:mm:ss"
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header and fixed columns; a row that does not fit the schema ends the job."""
+    """CSV with a header and fixed columns.
+
+    A value that does not fit its type ends a read of that column. Spark parses only the columns
+    that are asked for, and an empty field is NULL whatever the schema says; :func:`land` reads
+    all columns once, and the load gate counts the NULLs.
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", False)
         .option("mode", "FAILFAST")
         .option("dateFormat", "yyyy-MM-dd")
-        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
+        .option("timestampNTZFormat", MOMENT_FORMAT)
         .csv(path)
     )
 
 
+def land(tables: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+    """Write each table with all its columns as Parquet under ``folder`` and read it back.
+
+    A text source is parsed once and in full here, so a value that does not fit ends the job;
+    everything after scans Parquet.
+    """
+    landed = {}
+    for name, df in tables.items():
+        write_parquet(df, f"{folder}/{name}")
+        landed[name] = df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+    return landed
+
+
 def read_model_csv(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The six model tables from ``<folder>/<table>.csv``."""
     return {name: read_csv(spark, f"{folder}/{name}.csv", schema) for name, schema in SCHEMAS.items()}
@@ -42,7 +62,8 @@ def flags_as_numbers(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    flags_as_numbers(df).write.mode(mode).option("header", True).csv(path)
+    """CSV with a header, in the formats that :func:`read_csv` expects."""
+    flags_as_numbers(df).write.mode(mode).option("header", True).option("timestampNTZFormat", MOMENT_FORMAT).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Iterable[str] = (), mode: str = "overwrite") -> None:

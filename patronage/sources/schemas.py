@@ -66,6 +66,9 @@ PRIMARY_KEYS = {
     "discounts": "discount_id",
 }
 
+# unique besides the primary keys: an order has at most one delivery event
+UNIQUE = (("delivery_events", "order_id"),)
+
 # (child table, key, parent table)
 FOREIGN_KEYS = (
     ("orders", "customer_id", "customers"),

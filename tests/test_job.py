@@ -6,6 +6,7 @@ from decimal import Decimal
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from patronage import job
 from patronage.operators.facts import customer_timeline, delivered, snapshot_date
@@ -53,12 +54,72 @@ def test_job_writes_every_result(spark, folder, tmp_path):
     assert len(spark.table("v_customer_segments").columns) == 16
 
 
-def test_job_stops_on_orphans(spark, tmp_path):
+def write_model(spark, folder, change=None):
     rows = model_rows()
-    rows["customers"] = rows["customers"][1:]
+    if change:
+        change(rows)
     for name, part in rows.items():
-        files.write_csv(spark.createDataFrame(part, SCHEMAS[name]), str(tmp_path / "in" / f"{name}.csv"))
-    assert not job.run(spark, "csv", str(tmp_path / "in"), str(tmp_path / "out"), "csv")
+        kinds = T.StructType([T.StructField(f.name, f.dataType, True) for f in SCHEMAS[name]])
+        files.write_csv(spark.createDataFrame(part, kinds), f"{folder}/{name}.csv")
+
+
+def no_signup(rows):
+    rows["customers"][3] = (*rows["customers"][3][:1], None, *rows["customers"][3][2:])
+
+
+def second_event(rows):
+    rows["delivery_events"].append(("E-again", *rows["delivery_events"][0][1:]))
+
+
+def repeated_order(rows):
+    rows["orders"].append(rows["orders"][0])
+
+
+def lost_customer(rows):
+    rows["customers"] = rows["customers"][1:]
+
+
+@pytest.mark.parametrize(
+    "change, fault",
+    [
+        (no_signup, "customers.signup_date"),
+        (second_event, "delivery_events.order_id"),
+        (repeated_order, "orders.order_id"),
+        (lost_customer, "orders.customer_id -> customers"),
+    ],
+)
+def test_job_stops_on_faults(spark, tmp_path, change, fault):
+    write_model(spark, tmp_path / "in", change)
+    assert not job.run(spark, "csv", str(tmp_path / "in"), str(tmp_path / "out"), "parquet")
+    found = {r.subject for r in spark.read.parquet(str(tmp_path / "out" / "load_checks")).filter("status = 'FAIL'").collect()}
+    assert fault in found
+    assert not (tmp_path / "out" / "cohort_retention").exists()
+
+
+def test_job_stops_on_a_date_that_is_none(spark, tmp_path):
+    write_model(spark, tmp_path / "in")
+    broken = tmp_path / "in" / "customers.csv"
+    part = next(broken.glob("part-*.csv"))
+    part.write_text(part.read_text().replace("2024-01-01", "2024-13-01", 1))
+    (broken / f".{part.name}.crc").unlink(missing_ok=True)
+    with pytest.raises(Exception, match="2024-13-01|malformed|MALFORMED|parse"):
+        job.run(spark, "csv", str(tmp_path / "in"), str(tmp_path / "out"), "parquet")
+
+
+def test_a_lost_row_is_found(spark, folder):
+    given = ModelTables.read(spark, str(folder), "csv")
+    loaded = ModelTables(spark=spark, **{**given.tables(), "discounts": given.discounts.limit(3)})
+    found = {(r["check"], r.subject): r.status for r in job.verify(given, loaded).collect()}
+    assert found["row count", "discounts"] == "FAIL" and found["row count", "orders"] == "OK"
+
+
+def test_job_leaves_no_scratch(spark, folder, tmp_path):
+    from pathlib import Path
+
+    from patronage.session import shared_dir
+
+    assert job.run(spark, "csv", str(folder), str(tmp_path / "out"), "csv")
+    assert not list(Path(shared_dir(spark).removeprefix("file:")).glob("job-*"))
 
 
 def test_flags_of_a_hot_customer_match_pandas(spark, folder, layout):
