@@ -90,7 +90,7 @@ def find(spark: SparkSession, docs: DataFrame, items: DataFrame, width: int = 5,
     widths = sorted({width, *(r["words"] for r in shingles.select("words").distinct().collect())})
     signatures = spark.sparkContext.broadcast(bitmap(shingles.where("in_signature").select("hash"), BITS))
     everything = spark.sparkContext.broadcast(bitmap(shingles.select("hash"), BITS))
-    hits = docs.mapInArrow(lambda it: _hits(it, widths, signatures.value, everything.value), "doc_id long, row_id long, hash long")
+    hits = docs.mapInArrow(lambda it: _hits(it, widths, signatures.value, everything.value), "doc_id long, row_id long, hash long").distinct()
     counted = hits.join(shingles, "hash").groupBy("doc_id", "row_id", "item_id", "n_shingles").agg(F.count("*").alias("n_shared"), F.max("in_signature").alias("candidate"))
     whole = counted.where(F.col("candidate") & (100 * F.col("n_shared") >= percent * F.col("n_shingles")))
     best = whole.groupBy("doc_id", "item_id").agg(F.max(F.struct(F.col("n_shared") / F.col("n_shingles"), "n_shared", "n_shingles")).alias("best"))
