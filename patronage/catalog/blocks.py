@@ -229,9 +229,9 @@ JOINS: dict[str, Callable[[B], DataFrame]] = {
 
 AGGREGATES: dict[str, Callable[[B], DataFrame]] = {
     "count_rows": lambda b: delivered(b.orders).groupBy("customer_id").agg(_count_rows().alias("orders")),
-    "count_distinct": lambda b: b.orders.groupBy(calendar.month_key(F.col("order_date")).alias("order_month")).agg(
-        F.countDistinct("customer_id").alias("customers")
-    ),
+    "count_distinct": lambda b: b.orders.groupBy(F.trunc("order_date", "month").alias("first_day"))
+    .agg(F.countDistinct("customer_id").alias("customers"))
+    .select(calendar.month_key(F.col("first_day")).alias("order_month"), "customers"),
     "sum_decimal": lambda b: revenue.customer_spend(delivered(b.orders)),
     "average": lambda b: b.delivery_events.groupBy("promised_delivery_min").agg(
         numeric.ratio(F.sum("delivery_delay_min"), F.count("delivery_delay_min")).alias("avg_delay")

@@ -133,15 +133,17 @@ def rank_within(df: DataFrame, group: str, keys: Sequence[Column], into: str = "
     carried = (
         edges.withColumn("_earlier", F.col("_rows_before") - begun)
         .filter((F.col("_first") == 0) & (F.col("_earlier") > 0))
-        .select(SLOT, group, "_earlier")
+        .select(F.col(SLOT).alias("_carried_slot"), F.col(group).alias("_carried_group"), "_earlier")
         .distinct()
     )
+    # null-safe, so that a group of NULL goes on where it is cut, too
+    same = (F.col(SLOT) == F.col("_carried_slot")) & F.col(group).eqNullSafe(F.col("_carried_group"))
     inside = F.row_number().over(W.partitionBy(SLOT, group).orderBy(POSITION))
     return (
         placed.rows.withColumn("_inside", inside)
-        .join(F.broadcast(carried), [SLOT, group], "left")
+        .join(F.broadcast(carried), same, "left")
         .withColumn(into, F.col("_inside") + F.coalesce(F.col("_earlier"), F.lit(0)))
-        .drop(SLOT, POSITION, "_inside", "_earlier")
+        .drop(SLOT, POSITION, "_inside", "_earlier", "_carried_slot", "_carried_group")
     )
 
 

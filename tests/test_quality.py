@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from patronage.plans import quality
+from patronage.plans import enrichment, kpis, quality
 from patronage.sources import files
 from patronage.sources.schemas import FOREIGN_KEYS, PRIMARY_KEYS, SCHEMAS
 
@@ -107,3 +107,17 @@ def test_summary_keeps_small_and_large_values(spark):
     assert exact["b"].n == 2 and int(exact["b"].max) == 10**17
     mixed = {r.metric: r for r in quality.numeric_summary(df, ["a", "c"]).collect()}
     assert (mixed["c"].min, mixed["c"].q50, mixed["c"].max) == (1.5, 2.0, 2.5)
+
+
+def test_never_ordered_lists_customers_without_any_order(spark):
+    customers = spark.createDataFrame([(1,), (2,), (3,), (4,)], "customer_id long")
+    orders = spark.createDataFrame([(10, 1, "Delivered"), (11, 1, "Delivered"), (12, 3, "Cancelled")], "order_id long, customer_id long, order_status string")
+    assert sorted(r.customer_id for r in kpis.never_ordered(customers, orders).collect()) == [2, 4]
+
+
+def test_month_filter_reads_only_its_folders(spark, tmp_path):
+    orders = spark.createDataFrame([(1, date(2024, 1, 5)), (2, date(2024, 2, 5)), (3, date(2024, 2, 6))], "order_id long, order_date date")
+    files.write_parquet(enrichment.with_calendar(orders), str(tmp_path / "orders"), partition_by=["order_month"])
+    kept = spark.read.parquet(str(tmp_path / "orders")).filter("order_month = '2024-02'")
+    assert kept.count() == 2
+    assert "PartitionFilters: [isnotnull(order_month" in kept._jdf.queryExecution().executedPlan().toString()

@@ -110,3 +110,11 @@ def test_cohort_offset_zero_is_everyone(spark):
 def test_global_rank_is_dense_and_complete(spark):
     got = [r["rank"] for r in global_rank(heavy_ties(spark, 1000), [F.col("v"), F.col("id")]).collect()]
     assert sorted(got) == list(range(1, 1001))
+
+
+def test_a_null_group_over_several_ranges_is_numbered_through(spark, layout):
+    df = spark.range(900).selectExpr("id", "CASE WHEN id % 9 = 0 THEN 1 WHEN id % 9 = 1 THEN 2 END AS g")
+    found = rank_within(df, "g", [F.col("id")]).collect()
+    for group in (None, 1, 2):
+        rows = sorted((r.id, r.rn) for r in found if r.g == group)
+        assert [n for _, n in rows] == list(range(1, len(rows) + 1))
