@@ -17,7 +17,9 @@ frequent decides only how much work there is, never which links are found.
 
 Equal sets are one node. Sets that share an index entry are first linked to one of them only
 (the entry's pivot); entries that lie within one component are done, and only what remains between
-components is compared pair by pair. Every comparison is of the whole sets.
+components is paired. Of these pairs, sizes and bit sketches rule out most before they are given out: a
+sketch flips one bit for each token, so two sketches differ in no more bits than the sets differ in
+tokens. Every pair that is left is compared by the whole sets.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ from patronage.llm.text import mix, shingle_sets, slices, texts
 CELL_BITS = 22
 SLOT_BITS = 16
 LEAST_FREQUENT = 64
+SKETCH = 8
+PAIRS = 200_000
 MIXED = (1 << 31) - 1
 _LONG = np.iinfo(np.int64).max
 
@@ -59,12 +63,25 @@ def fingerprints(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.where(sizes > 0, mix(total + sizes * np.uint64(0x9E3779B97F4A7C15)), np.uint64(0)).view(np.int64)
 
 
+_BITS = [f"bits{k}" for k in range(SKETCH)]
+
+
+def sketches(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Of each set ``64 * SKETCH`` bits, of which each token flips one; one row of 64-bit words per set."""
+    bits = 64 * SKETCH
+    place = (mix(hashes ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(bits)).astype(np.int64)
+    odd = np.zeros((len(offsets) - 1, bits), np.uint8)
+    for row, a, b in _edges_of(offsets):
+        odd[row] = np.bincount(place[a:b], minlength=bits) & 1
+    return np.packbits(odd, axis=1, bitorder="little").view(np.int64)
+
+
 def _nodes(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch, data, offsets in slices(batches):
         hashes, at = shingle_sets(data, offsets, width)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(fingerprints(hashes, at)), pa.array(np.diff(at))], ["doc_id", "fp", "n"]
-        )
+        sketch = sketches(hashes, at)
+        columns = [batch.column("doc_id"), pa.array(fingerprints(hashes, at)), pa.array(np.diff(at)), *(pa.array(sketch[:, k]) for k in range(SKETCH))]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", "n", *_BITS])
 
 
 def _new_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, list[tuple[int, int, int]]]]:
@@ -208,17 +225,36 @@ def _shared_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _cross_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of nodes of one entry that are in different components and of sizes that can link."""
-    for entry, fp, info, label in _grouped(batches, ["entry", "fp", "info", "label"]):
-        size = info >> 32
-        for step in range(1, len(entry)):
-            same = entry[step:] == entry[:-step]
-            if not same.any():
-                break
-            low, high = np.minimum(size[step:], size[:-step]), np.maximum(size[step:], size[:-step])
-            kept = np.flatnonzero(same & (label[step:] != label[:-step]) & (100 * low >= percent * high))
+    """Pairs of nodes of one entry that are in different components, and whose sizes and sketches do not rule out a link."""
+    for entry, fp, info, label, *bits in _grouped(batches, ["entry", "fp", "info", "label", *_BITS]):
+        order = np.lexsort((label, entry))
+        entry, fp, info, label = (c[order] for c in (entry, fp, info, label))
+        size, sketch = info >> 32, np.stack(bits, axis=1)[order].view(np.uint64)
+        # partners of a row: from the end of its component's run to the end of its entry
+        places = np.arange(len(entry))
+        last = np.flatnonzero(np.append(entry[1:] != entry[:-1], True))
+        end = last[np.searchsorted(last, places)] + 1
+        last = np.flatnonzero(np.append((entry[1:] != entry[:-1]) | (label[1:] != label[:-1]), True))
+        start = last[np.searchsorted(last, places)] + 1
+        counts = end - start
+        ends = np.cumsum(counts)
+        row = 0
+        while row < len(entry):
+            base = ends[row - 1] if row else 0
+            stop = max(row + 1, int(np.searchsorted(ends, base + PAIRS, "right")))
+            some = counts[row:stop]
+            a = np.repeat(places[row:stop], some)
+            b = np.arange(len(a)) - np.repeat(np.cumsum(some) - some, some) + start[a]
+            row = stop
+            low, high = np.minimum(size[a], size[b]), np.maximum(size[a], size[b])
+            kept = np.flatnonzero(100 * low >= percent * high)
+            both = low[kept] + high[kept]
+            most = both - 2 * -(-both * percent // (100 + percent))  # tokens that linked sets may differ in
+            kept = kept[np.bitwise_count(sketch[a[kept]] ^ sketch[b[kept]]).sum(axis=1) <= most]
             if len(kept):
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (fp[kept], fp[kept + step], info[kept], info[kept + step])], ["a", "b", "a_info", "b_info"])
+                a, b = a[kept], b[kept]
+                a, b = np.where(fp[a] < fp[b], a, b), np.where(fp[a] < fp[b], b, a)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (fp[a], fp[b], info[a], info[b])], ["a", "b", "a_info", "b_info"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int, wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -259,7 +295,8 @@ def link(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     named = docs.where("doc_id IS NOT NULL").select("text")
-    nodes = stored(spark, docs.mapInArrow(lambda it: _nodes(it, width), "doc_id long, fp long, n long"), "nodes")
+    nodes = docs.mapInArrow(lambda it: _nodes(it, width), "doc_id long, fp long, n long, " + ", ".join(f"{c} long" for c in _BITS))
+    nodes = stored(spark, nodes, "nodes")
     heavy = spark.sparkContext.broadcast(frequent_cells(named, width, percent))
     entries = named.mapInArrow(lambda it: _entries(it, width, percent, heavy.value), "entry long, fp long, info long")
     common = stored(
@@ -288,7 +325,8 @@ def link(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80
     label = F.coalesce("component", "fp")
     labelled = stored(spark, common.join(labels, common.fp == labels.node, "left").select("entry", "fp", "info", label.alias("label")), "labelled")
     open_ = labelled.groupBy("entry").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("entry")
-    rest = labelled.join(open_, "entry", "left_semi").repartition("entry").sortWithinPartitions("entry", "fp")
+    sketch = nodes.where("fp <> 0").groupBy("fp").agg(*(F.max(c).alias(c) for c in _BITS))
+    rest = labelled.join(open_, "entry", "left_semi").join(sketch, "fp").repartition("entry").sortWithinPartitions("entry", "fp")
     pairs = rest.mapInArrow(lambda it: _cross_pairs(it, percent), "a long, b long, a_info long, b_info long")
     pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("n"), F.max("a_info").alias("a_info"), F.max("b_info").alias("b_info"))
     more = verified(pairs.where(F.col("n") >= _needed("a_info", "b_info")).select("a", "b"))
