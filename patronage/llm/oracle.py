@@ -65,5 +65,39 @@ SELECT page_id, host, path, rule, CASE
     WHEN regexp_full_match('.' || host || chr(10) || path, '(?s)({"|".join(_regex(g) for g in EXTRA_BLOCK)})') THEN 'block'
     ELSE 'allow' END AS verdict
 FROM ruled
+""",
+    "op10_suffix_dedup": """
+WITH d AS (
+  SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), windows AS (
+  SELECT doc_id, k AS s, array_slice(b, k + 1, k + 50) AS x FROM d, unnest(range(0, n - 49)) AS r(k) WHERE n >= 50
+), first_held AS (SELECT x, min(doc_id) AS holder FROM windows GROUP BY x), gone AS (
+  SELECT doc_id, s FROM windows JOIN first_held USING (x) WHERE doc_id > holder
+), marked AS (
+  SELECT doc_id, s, coalesce(s > max(s + 50) OVER (PARTITION BY doc_id ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS fresh FROM gone
+), numbered AS (SELECT doc_id, s, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY s) AS g FROM marked), spans AS (
+  SELECT doc_id, min(s) AS a, max(s) + 50 AS z FROM numbered GROUP BY doc_id, g
+), between AS (
+  SELECT doc_id, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS p, a AS q FROM spans
+  UNION ALL SELECT doc_id, max(z), NULL FROM spans GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, string_agg(CASE WHEN p < coalesce(q, n) THEN hex(array_slice(b, p + 1, coalesce(q, n))) ELSE '' END, '' ORDER BY p) AS h
+  FROM between JOIN d USING (doc_id) GROUP BY doc_id
+), sums AS (SELECT doc_id, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT d.doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(CASE WHEN h IS NULL THEN b ELSE unhex(h) END) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN sums USING (doc_id)
+""",
+    "op6_lattice_dedup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON len(a.e) = len(b.e) AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+), reached(id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT reached.id, links.b FROM reached JOIN links ON links.a = reached.other
+), named AS (SELECT id, min(other) AS component_id FROM reached GROUP BY id), degrees AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, component_id = vec_id AS kept
+FROM embeddings JOIN named ON id = vec_id LEFT JOIN degrees ON a = vec_id
 """,
 }

@@ -18,7 +18,10 @@ _UNSAFE = r" ($|[\s\x0b\x1c-\x1f\x{85}\x{180e}\x{200b}\x{2060}\x{feff}\p{Z}])"
 
 
 class Memory:
-    """Results by piece, bounded: when the young half is full, it becomes the old half, and the old one goes."""
+    """Results by piece, bounded: when the young half is full, it becomes the old half, and the old one goes.
+
+    A half has at most ``size`` entries and those of one slice more.
+    """
 
     def __init__(self, size: int = 300_000, longest: int = 64):
         self.young: dict = {}
@@ -26,28 +29,21 @@ class Memory:
         self.size, self.longest = size, longest
 
     def fill(self, keys: list, compute: Callable[[list], list]) -> list:
-        found = [self.young.get(k) for k in keys]
-        missing = []
-        for at, (key, value) in enumerate(zip(keys, found)):
-            if value is None:
-                value = self.old.get(key)
-                if value is None:
-                    missing.append(at)
-                else:
-                    found[at] = value
-                    self._keep(key, value)
-        for at, value in zip(missing, compute([keys[k] for k in missing]) if missing else []):
-            found[at] = value
-            self._keep(keys[at], value)
+        """The value of each of ``keys``, which are distinct; ``compute`` gives those that are not here."""
+        found = list(map(self.young.get, keys))
+        absent = [k for k, value in enumerate(found) if value is None]
+        if absent:
+            earlier = list(map(self.old.get, [keys[k] for k in absent]))
+            missing = [k for k, value in zip(absent, earlier) if value is None]
+            for k, value in zip(absent, earlier):
+                found[k] = value
+            for k, value in zip(missing, compute([keys[k] for k in missing]) if missing else ()):
+                found[k] = value
+            self.young.update((keys[k], found[k]) for k in absent if len(keys[k]) <= self.longest)
+            if len(self.young) >= self.size:
+                self.old, self.young = self.young, {}
         return found
 
-    def _keep(self, key, value) -> None:
-        if len(key) > self.longest:
-            return
-        if len(self.young) >= self.size:
-            self.old, self.young = self.young, {}
-        self.young[key] = value
-
 
 def gather(values: list[bytes], codes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """The values of ``codes`` one after the other as an array of items of ``width`` bytes, and the items of each code."""

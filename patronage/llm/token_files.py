@@ -57,7 +57,7 @@ class _Encoder:
         for begin in range(0, len(joined), 1000):
             part = joined[begin : begin + 1000]
             texts = [strings[k] for k in part]
-            ids = np.array(self.tool.encode("".join(texts), add_special_tokens=False).ids, np.int64)
+            ids = np.array(self.tool.encode_batch_fast(["".join(texts)], add_special_tokens=False)[0].ids, np.int64)
             ends = np.cumsum(self.sizes[ids])
             want = np.cumsum(list(map(len, map(str.encode, texts))))
             cuts = np.searchsorted(ends, want) + 1
