@@ -58,8 +58,12 @@ def drop_benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 and ids of each document."""
-    return bpe.digests(spark, docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=True)
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 and ids of each document.
+
+    The stages before leave more Python workers on an executor than run at once, and each comes to hold
+    words, so fewer are remembered than where the operator runs alone.
+    """
+    return bpe.digests(spark, docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=True, remember=30_000)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

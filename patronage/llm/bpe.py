@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from patronage.llm.pieces import Memory, encode_slice, gather, id_lists, small
 
 LONG_WORD = 48
+WORDS = 20_000
+REMEMBER = 200_000
 _MASK = (1 << 32) - 1
 
 #: State: word, position, token, next token, key of the pair (rank << 32 | position), least key of the word.
@@ -94,7 +96,7 @@ class Coder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.pieces, self.runs = Memory(), Memory()
+        self.pieces = Memory(REMEMBER)
         rows = [(ranks[w[:k]], ranks[w[k:]], i) for w, i in ranks.items() for k in range(1, len(w)) if w[:k] in ranks and w[k:] in ranks]
         left, right, merged = (np.array(x, np.int32) for x in zip(*rows)) if rows else (np.zeros(0, np.int32),) * 3
         unsafe = np.unique(np.concatenate((left[left > merged], right[right > merged])))
@@ -120,8 +122,13 @@ class Coder:
         return pa.table({"w": np.repeat(np.arange(len(words), dtype=np.int32), sizes), "p": place.astype(np.int32), "t": tokens, "n": following})
 
     def _run(self, words: list[bytes], query: str) -> list[bytes]:
-        if not words:
-            return []
+        """Ids of each word by one of the two queries, ``WORDS`` at a time: all rounds of a query are held until it ends."""
+        out: list[bytes] = []
+        for begin in range(0, len(words), WORDS):
+            out += self._run_some(words[begin : begin + WORDS], query)
+        return out
+
+    def _run_some(self, words: list[bytes], query: str) -> list[bytes]:
         self.connection.register("start", self._start(words))
         lists = self.connection.sql(query).to_arrow_table()["ids"].combine_chunks()
         self.connection.unregister("start")
@@ -152,7 +159,10 @@ class Coder:
         return [ids[words[0]] if len(words) == 1 else b"".join(map(ids.__getitem__, words)) for words in found]
 
     def decode_runs(self, runs: list[bytes]) -> list[bytes]:
-        """Bytes of each run of ids."""
+        """Bytes of each run of ids, ``WORDS`` at a time."""
+        return [x for begin in range(0, len(runs), WORDS) for x in self._decode_some(runs[begin : begin + WORDS])]
+
+    def _decode_some(self, runs: list[bytes]) -> list[bytes]:
         sizes = np.fromiter(map(len, runs), np.int64, len(runs)) // 4
         ids = np.frombuffer(b"".join(runs), np.uint32).astype(np.int32)
         self.connection.register("given", pa.table({"d": np.repeat(np.arange(len(runs), dtype=np.int32), sizes), "p": np.arange(len(ids)), "id": ids}))
@@ -174,7 +184,7 @@ class Coder:
         bounds = np.flatnonzero(cut)
         raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64) * 4), pa.py_buffer(np.ascontiguousarray(ids, np.uint32))])
         coded = raw.dictionary_encode()
-        data, counts = gather(self.runs.fill(coded.dictionary.to_pylist(), self.decode_runs), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), 1)
+        data, counts = gather(self.decode_runs(coded.dictionary.to_pylist()), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), 1)
         ends = np.concatenate(([0], np.cumsum(counts)))
         return data, ends[np.searchsorted(bounds, edges)]
 
@@ -208,7 +218,7 @@ def encode(spark: SparkSession, docs: DataFrame, path: str, pattern: str) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = coder(shared, pattern)
-        for batch in small(batches, "text"):
+        for batch in small(batches, "text", 4 << 20):
             ids, edges = encode_slice(batch.column("text"), tool.pieces, tool.encode)
             yield pa.RecordBatch.from_arrays([*batch.columns, id_lists(ids, edges)], [*batch.schema.names, "ids"])
 
@@ -233,18 +243,20 @@ def decode(spark: SparkSession, rows: DataFrame, path: str, pattern: str) -> Dat
     return rows.mapInArrow(run, _schema(rows, "decoded binary"))
 
 
-def digests(spark: SparkSession, docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
+def digests(spark: SparkSession, docs: DataFrame, path: str, pattern: str, with_ids: bool = False, remember: int = REMEMBER) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each document, encoded and decoded again in one pass.
 
     The ids count as little-endian unsigned 32-bit integers. With ``with_ids`` the ids are kept as
-    ``ids``. NULL and empty texts have no tokens, and the digests of no bytes.
+    ``ids``. NULL and empty texts have no tokens, and the digests of no bytes. ``remember`` is how many
+    words each Python worker keeps between batches; it decides memory and time only.
     """
     shared = spark.sparkContext.broadcast({"name": path, "ranks": read_ranks(path)})
     docs = docs.select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = coder(shared, pattern)
-        for batch in small(batches, "text"):
+        tool.pieces.size = remember
+        for batch in small(batches, "text", 2 << 20 if remember < REMEMBER else 4 << 20):
             ids, edges = encode_slice(batch.column("text"), tool.pieces, tool.encode)
             data, ends = tool.decode(ids, edges)
             out = {
