@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from patronage.llm.shared import components, stored
 from patronage.llm.text import mix
@@ -84,7 +85,7 @@ def _unit(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield rows, block / np.sqrt((block * block).sum(axis=1, keepdims=True))
 
 
-def _keys(batches: Iterator[pa.RecordBatch], tables: int, scale: float, probes: int, with_vector: bool) -> Iterator[pa.RecordBatch]:
+def _keys(batches: Iterator[pa.RecordBatch], tables: int, scale: float, probes: int) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for begin in range(0, whole.num_rows, 1000):
             batch = whole.slice(begin, 1000)
@@ -97,9 +98,6 @@ def _keys(batches: Iterator[pa.RecordBatch], tables: int, scale: float, probes:
                     home[:, 0] = True
                     owner = np.repeat(np.arange(len(rows)), keys.shape[1])
                     columns = {"cell": pa.array(keys.ravel()), "id": pa.array(ids[rows][owner]), "home": pa.array(home.ravel())}
-                    if with_vector:
-                        raw = pa.array([v.tobytes() for v in block], pa.binary())
-                        columns["vector"] = raw.take(pa.array(owner))
                     yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
 
@@ -111,7 +109,9 @@ def _pairs(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.R
     def compare() -> pa.RecordBatch:
         table = pa.Table.from_batches(held).combine_chunks()
         ids, home, side = (table[c].to_numpy() for c in ("id", "home", "side"))
-        vectors = np.stack([np.frombuffer(v) for v in table["vector"].to_pylist()])
+        vectors = np.zeros((len(ids), len(table["vector"][0])))
+        for rows, block in _unit(table["vector"].combine_chunks() if isinstance(table["vector"], pa.ChunkedArray) else table["vector"]):
+            vectors[rows] = block
         one, two = table["one"][0].as_py(), table["two"][0].as_py()
         left = np.flatnonzero(side == one)
         right = left if one == two else np.flatnonzero(side == two)
@@ -154,17 +154,17 @@ def link(spark: SparkSession, vectors: DataFrame, threshold: float = 0.9, tables
     rows = given.where("vec_id IS NOT NULL").where(F.coalesce(sound, F.lit(False))).distinct()
     own = stored(spark, rows.groupBy("vector").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")), "vectors")
 
-    def keys(with_vector: bool) -> DataFrame:
-        schema = "cell long, id long, home boolean" + ", vector binary" * with_vector
-        return own.select("id", "vector").mapInArrow(lambda it: _keys(it, tables, scale, probes, with_vector), schema)
-
-    # only points at which something can meet; of these, how many blocks
-    met = keys(False).groupBy("cell").agg(F.count("*").alias("n"), F.max("home").alias("any_home")).where("n > 1 AND any_home")
+    keys = own.select("id", "vector").mapInArrow(lambda it: _keys(it, tables, scale, probes), "cell long, id long, home boolean")
+    # only points at which something can meet; of these, how many blocks. Ids travel first, vectors once
+    met = keys.groupBy("cell").agg(F.count("*").alias("n"), F.max("home").alias("any_home")).where("n > 1 AND any_home")
     met = stored(spark, met.select("cell", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "points")
-    placed = keys(True).join(met, "cell").withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    placed = keys.join(met, "cell").withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    placed = placed.select("cell", "id", "home", "vector", "side", other.alias("other"))
-    grouped = placed.select("cell", F.least("side", "other").alias("one"), F.greatest("side", "other").alias("two"), "side", "id", "home", "vector")
+    placed = placed.select("cell", "id", "home", "side", other.alias("other"))
+    grouped = placed.select("cell", F.least("side", "other").alias("one"), F.greatest("side", "other").alias("two"), "side", "id", "home")
+    floats = isinstance(vectors.schema["embedding"].dataType.elementType, T.FloatType)
+    packed = own.select("id", F.col("vector").cast("array<float>").alias("vector") if floats else F.col("vector"))
+    grouped = grouped.join(packed, "id").select("cell", "one", "two", "side", "id", "home", "vector")
     grouped = grouped.repartition("cell", "one", "two").sortWithinPartitions("cell", "one", "two")
     links = stored(spark, grouped.mapInArrow(lambda it: _pairs(it, threshold), "a long, b long").distinct(), "links")
     found = components(spark, links)
