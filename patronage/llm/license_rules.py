@@ -3,24 +3,27 @@
 A rule is a regular expression over lower-cased text in which runs of white space and comment marks
 are one space. The tables below are written by hand; each licence gets one rule for each of its
 names, and one for each kind of reference to it (identifier tag, URL, "licensed under"). A rule's
-keyword stands in every text that the rule fits, so texts without it are not searched.
+keyword stands in every text that the rule fits, so texts without it are not searched. A licence's
+keyword is taken for those of its patterns that cannot fit without it; others get a literal of their own.
 """
 
 from __future__ import annotations
 
 import re
+from re import _constants as op
+from re import _parser
 from typing import NamedTuple
 
 
 class Rule(NamedTuple):
     label: str
-    keyword: str
+    keyword: str  # empty: every text is searched
     pattern: re.Pattern
     priority: int  # of overlapping detections the smaller number stays
     weight: float  # how sure the label is
 
 
-#: label: keyword of the name; names; identifiers; places in URLs
+#: label: keyword of most names; names; identifiers; places in URLs
 LICENSES: dict[str, tuple[str, tuple[str, ...], tuple[str, ...], tuple[str, ...]]] = {
     "0bsd": ("bsd", (r"(bsd )?zero[- ]clause bsd( license)?", r"0[- ]clause bsd"), ("0bsd",), (r"licenses/0bsd",)),
     "afl": ("academic", (r"academic free license( v(ersion)?\.? ?[123](\.[0-2])?)?",), ("afl-1.1", "afl-2.1", "afl-3.0"), (r"licenses/afl-3\.0",)),
@@ -97,7 +100,7 @@ LICENSES: dict[str, tuple[str, tuple[str, ...], tuple[str, ...], tuple[str, ...]
     "zpl": ("zope", (r"zope public license( \(zpl\))?,?( v(ersion)? ?2\.[01])?",), ("zpl-2.0", "zpl-2.1"), ()),
 }
 
-#: label, keyword, clause: wording of the licences themselves
+#: label, keyword of most of its texts, clause: wording of the licences themselves
 CLAUSES: tuple[tuple[str, str, str], ...] = (
     ("mit", "permission is hereby granted", r"permission is hereby granted, free of charge, to any person obtaining a copy"),
     ("mit", "above copyright notice and this permission notice", r"the above copyright notice and this permission notice shall be included"),
@@ -123,23 +126,60 @@ CLAUSES: tuple[tuple[str, str, str], ...] = (
 )
 
 
+def _runs(items) -> tuple[list[str], list[list]]:
+    """Literal strings that stand in every match of a parsed pattern, and the branches that every match goes through."""
+    runs, branches = [""], []
+
+    def walk(items) -> None:
+        for kind, value in items:
+            if kind is op.LITERAL:
+                runs[-1] += chr(value)
+            elif kind is op.SUBPATTERN:
+                walk(value[3])
+            elif kind is op.AT:
+                continue
+            else:
+                runs.append("")
+                if kind is op.BRANCH:
+                    branches.append(value[1])
+                elif kind is op.MAX_REPEAT and value[0] > 0:
+                    walk(value[2])
+                    runs.append("")
+
+    walk(items)
+    return runs, branches
+
+
+def _needs(items, keyword: str) -> bool:
+    """Whether the keyword stands in every match of a parsed pattern."""
+    runs, branches = _runs(items)
+    return any(keyword in run for run in runs) or any(all(_needs(x, keyword) for x in branch) for branch in branches)
+
+
+def keyword_of(pattern: str, wanted: str = "") -> str:
+    """The wanted keyword if no match is without it, else the longest literal that stands in every match ('' if none does)."""
+    items = _parser.parse(pattern)
+    return wanted if wanted and _needs(items, wanted) else max(_runs(items)[0], key=len)
+
+
 def rules() -> list[Rule]:
     """All rules in order: identifier tags, URLs, clauses, names; of names, the more specific licences come first."""
     found = []
 
     def add(label: str, keyword: str, pattern: str, priority: int, weight: float) -> None:
-        found.append(Rule(label, keyword, re.compile(pattern), priority, weight))
+        found.append(Rule(label, keyword_of(pattern, keyword), re.compile(pattern), priority, weight))
 
     for label, (keyword, names, tags, urls) in LICENSES.items():
         for tag in tags:
             add(label, tag, rf"spdx-license-identifier: ?\(?{re.escape(tag)}(?![\w.-])", 0, 1.0)
             add(label, tag, rf"\blicen[sc]e\W{{1,4}}{re.escape(tag)}(?![\w.-])", 1, 0.9)
         for url in urls:
-            add(label, max(re.split(r"\\?[.\[({}?\]]|\.\{", url.replace(r"\.", "\0")), key=len).replace("\0", "."), url, 2, 0.95)
+            add(label, keyword_of(url), url, 2, 0.95)
         for name in names:
+            own = keyword_of(name, keyword)
             # the longer a name, the more specific: "affero general public license" before "general public license"
-            add(label, keyword, rf"\b(licen[sc]ed|distributed|released|available|covered) (under|by) (the )?(terms of the )?({name})", 4, 0.9)
-            add(label, keyword, name, 5, 0.8)
+            add(label, own, rf"\b(licen[sc]ed|distributed|released|available|covered) (under|by) (the )?(terms of the )?({name})", 4, 0.9)
+            add(label, own, name, 5, 0.8)
     for label, keyword, clause in CLAUSES:
         add(label, keyword, clause, 3, 0.7 if label in ("proprietary", "no-warranty") else 0.9)
     return sorted(found, key=lambda r: (r.priority, r.label))

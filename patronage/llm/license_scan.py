@@ -30,6 +30,7 @@ class Scanner:
         by_keyword: dict[str, list[int]] = {}
         for number, rule in enumerate(ordered):
             by_keyword.setdefault(rule.keyword, []).append(number)
+        self.always = by_keyword.pop("", [])
         self.automaton = ahocorasick.Automaton()
         for keyword, numbers in by_keyword.items():
             self.automaton.add_word(keyword, numbers)
@@ -40,11 +41,10 @@ class Scanner:
 
         Within one priority the longer detection comes first, then the earlier place, then the label.
         """
-        raw = text.lower()
-        first = {number for _, numbers in self.automaton.iter(raw) for number in numbers}
-        plain = _BLANK.sub(" ", raw)
-        if plain != raw:
-            first |= {number for _, numbers in self.automaton.iter(plain) for number in numbers}
+        plain = _BLANK.sub(" ", text.lower())
+        first = {*self.always}
+        if len(self.automaton):
+            first.update(number for _, numbers in self.automaton.iter(plain) for number in numbers)
         found = [(m.start(), m.end(), self.ordered[n]) for n in sorted(first) for m in self.ordered[n].pattern.finditer(plain) if m.end() > m.start()]
         found.sort(key=lambda d: (d[2].priority, d[0] - d[1], d[0], d[2].label))
         kept: list[tuple[int, int, Rule]] = []

@@ -1,4 +1,6 @@
 import re
+from re import _constants as op
+from re import _parser
 
 import pytest
 
@@ -82,3 +84,58 @@ def test_a_rule_fits_only_texts_with_its_keyword(scanner):
         for rule in scanner.ordered:
             if rule.pattern.search(text):
                 assert rule.keyword in text, (rule, text)
+
+
+def examples(items):
+    """Texts that a parsed pattern fits: each alternative, and each optional part once there and once not."""
+    out = [""]
+    for kind, value in items:
+        if kind is op.LITERAL:
+            found = [chr(value)]
+        elif kind is op.SUBPATTERN:
+            found = examples(value[3])
+        elif kind is op.BRANCH:
+            found = [text for branch in value[1] for text in examples(branch)]
+        elif kind is op.MAX_REPEAT:
+            found = [text * times for times in {value[0], min(value[1], value[0] + 1)} for text in examples(value[2])]
+        elif kind is op.IN:
+            found = [chr(v) if k is op.LITERAL else chr(v[0]) if k is op.RANGE else "x" if "NOT_SPACE" in str(v) else " " for k, v in value]
+        elif kind is op.ANY:
+            found = ["x"]
+        else:
+            found = [""]
+        # not each with each: one part differs from its first text at a time
+        out = [out[0] + text for text in found] + [text + found[0] for text in out[1:]]
+    return list(dict.fromkeys(out))
+
+
+def test_no_rule_misses_an_alternative_for_its_keyword(scanner):
+    tried = 0
+    for rule in scanner.ordered:
+        texts = [text for text in examples(_parser.parse(rule.pattern.pattern)) if rule.pattern.search(text)]
+        assert texts, rule
+        tried += len(texts)
+        for text in texts:
+            assert rule.keyword in text, (rule, text)
+    assert tried > 2000
+
+
+def test_detections_are_those_without_keywords(scanner):
+    free = license_scan.Scanner([rule._replace(keyword="") for rule in scanner.ordered])
+    for rule in scanner.ordered:
+        for text in examples(_parser.parse(rule.pattern.pattern))[:4]:
+            gated, ungated = ([(a, b, r.label) for a, b, r in one.detect(f"see {text}.")] for one in (scanner, free))
+            assert gated == ungated, text
+
+
+@pytest.mark.parametrize(
+    "text, label",
+    [
+        ("licensed under the WTFPL", "wtfpl"), ("GNU AGPL v3", "agpl"), ("Lesser GPL", "lgpl"), ("under the terms of the GPL v3", "gpl"), ("PSF license", "psf"),
+        ("X Consortium license", "x11"), ("Internet Systems Consortium license", "isc"), ("Open Data Commons Database License", "odbl"), ("the Expat license", "mit"),
+        ("see unicode.org/copyright", "unicode"), ("see unicode.org/license", "unicode"), ("it is free software: you can redistribute it and/or modify it", "gpl"),
+        ("University of Illinois Open Source License", "ncsa"),
+    ],
+)
+def test_names_without_the_keyword_of_their_licence(scanner, text, label):
+    assert label in {rule.label for _, _, rule in scanner.detect(text)}
