@@ -7,7 +7,7 @@ space before other white space, or at their end, stay whole.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -57,13 +57,16 @@ def gather(values: list[bytes], codes: np.ndarray, width: int) -> tuple[np.ndarr
     return flat[np.repeat(shift, counts) + np.arange(total)], counts
 
 
-def encode_slice(column: pa.Array, memory: Memory, compute: Callable[[list[str]], list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+def encode_slice(column: pa.Array, memory: Memory, compute: Callable[[list[str]], list[bytes]], added: Sequence[str] = ()) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts of a slice in order, and where each text starts; NULL is empty.
 
-    ``compute`` turns distinct strings into their ids as little-endian 32-bit words.
+    ``compute`` turns distinct strings into their ids as little-endian 32-bit words. Texts that hold a
+    string of ``added`` stay whole.
     """
     column = column.fill_null("")
     whole = pc.match_substring_regex(column, _UNSAFE).to_numpy(zero_copy_only=False)
+    for literal in added:
+        whole = whole | pc.match_substring(column, literal).to_numpy(zero_copy_only=False)
     lists = pc.split_pattern(pc.if_else(pa.array(whole), "", column), " ")
     parts = lists.flatten().dictionary_encode()
     codes = parts.indices.to_numpy(zero_copy_only=False).astype(np.int64)

@@ -55,7 +55,7 @@ def op6_lattice_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document written to Simple-8b files and read back."""
-    return token_files.write_and_read(spark, _table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2)
+    return token_files.write_and_read(spark, _table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2, special=True)
 
 
 def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:

@@ -33,11 +33,13 @@ _lock = threading.Lock()
 class _Encoder:
     """The tokenizers library over many strings at once: joined, encoded in one call, and cut again by the bytes of the ids."""
 
-    def __init__(self, content: str):
+    def __init__(self, content: str, special: bool):
         from tokenizers import Tokenizer
 
         self.tool = Tokenizer.from_str(content)
-        self.tool.encode_special_tokens = True
+        self.tool.encode_special_tokens = not special
+        self.added = [token.content for token in self.tool.get_added_tokens_decoder().values()] if special else []
+        self.spaced = any(" " in x for x in self.added)  # could come about where strings are joined
         self.memory = Memory()
         units = _byte_units()
         self.sizes = np.zeros(self.tool.get_vocab_size(), np.int64)
@@ -46,7 +48,7 @@ class _Encoder:
 
     def __call__(self, strings: list[str]) -> list[bytes]:
         # a space before a visible character begins a new match whatever stands before it
-        joined = [at for at, text in enumerate(strings) if text[:1] == " " and text[1:2].strip()]
+        joined = [] if self.spaced else [at for at, text in enumerate(strings) if text[:1] == " " and text[1:2].strip() and not any(x in text for x in self.added)]
         out: list = [b""] * len(strings)
         taken = set(joined) if len(joined) < len(strings) else ()
         alone = [at for at in range(len(strings)) if at not in taken] if len(joined) < len(strings) else []
@@ -77,10 +79,10 @@ def _byte_units() -> set[str]:
 
 
 def _encoder(shared) -> _Encoder:
-    key = shared.value["name"]
+    key = shared.value["name"], shared.value["special"]
     with _lock:
         if key not in _tokenizers:
-            _tokenizers[key] = _Encoder(shared.value["content"])
+            _tokenizers[key] = _Encoder(shared.value["content"], shared.value["special"])
     return _tokenizers[key]
 
 
@@ -107,7 +109,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], shared, end_id: int) -> Iterator[
 
     tool = _encoder(shared)
     for batch in small(batches, "text", 8 << 20):
-        found, edges = encode_slice(batch.column("text"), tool.memory, tool)
+        found, edges = encode_slice(batch.column("text"), tool.memory, tool, tool.added)
         ended = np.insert(found, edges[1:], end_id)
         edges = edges + np.arange(len(edges))
         names = np.array(batch.column("doc_id").to_pylist(), object)
@@ -127,14 +129,15 @@ def _blocks(batches: Iterator[pa.RecordBatch], shared, end_id: int) -> Iterator[
         yield flush()
 
 
-def write(spark: SparkSession, docs: DataFrame, tokenizer: str, end_id: int, folder: str) -> None:
+def write(spark: SparkSession, docs: DataFrame, tokenizer: str, end_id: int, folder: str, special: bool = False) -> None:
     """Write the token ids of all texts of ``docs`` (doc_id, text), each with ``end_id`` behind it, to ``folder``.
 
     Documents are in ascending order of doc_id, NULL first; rows with the same doc_id in the order of
-    their texts. A NULL or empty text has the end id only. Special tokens in a text are ordinary text.
+    their texts. A NULL or empty text has the end id only. Special tokens in a text are ordinary
+    text, or with ``special`` those tokens, as the library has it unless told otherwise; such a text is encoded whole.
     """
     with open(tokenizer, encoding="utf-8") as file:
-        shared = spark.sparkContext.broadcast({"name": tokenizer, "content": file.read()})
+        shared = spark.sparkContext.broadcast({"name": tokenizer, "content": file.read(), "special": special})
     ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(lambda it: _blocks(it, shared, end_id), _FILES).write.option("compression", "zstd").parquet(folder)
 
@@ -170,8 +173,8 @@ def read_digests(spark: SparkSession, folder: str) -> DataFrame:
     return placed.mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def write_and_read(spark: SparkSession, docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+def write_and_read(spark: SparkSession, docs: DataFrame, tokenizer: str, end_id: int, special: bool = False) -> DataFrame:
     """Write the files to a new folder in the shared folder and return the digests read from them."""
     folder = f"{shared_dir(spark).rstrip('/')}/token-ids-{uuid.uuid4().hex}"
-    write(spark, docs, tokenizer, end_id, folder)
+    write(spark, docs, tokenizer, end_id, folder, special)
     return read_digests(spark, folder)

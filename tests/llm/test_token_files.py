@@ -51,3 +51,15 @@ def test_files_hold_the_ids_of_the_library(spark, layout, monkeypatch):
 
 def test_no_documents(spark):
     assert token_files.write_and_read(spark, spark.createDataFrame([], "doc_id long, text string"), PATH, 2).count() == 0
+
+
+def test_special_tokens_are_those_of_the_unchanged_library(spark):
+    tool, start, want = Tokenizer.from_file(PATH), 0, []
+    texts = ["a<|endoftext|>b", "a <|endoftext|> b c", "x <|endoftext|>y x", " <|endoftext|>", "<|endoftext|><|endoftext|> a  b", "<|endoftext |> a", "a b c"]
+    for k, text in enumerate(texts):
+        ids = [*tool.encode(text, add_special_tokens=False).ids, 2]
+        want.append((k, start, len(ids), zlib.crc32(np.array(ids, "<u4"))))
+        start += len(ids)
+    assert want[0][2] == 4
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(tuple(r) for r in token_files.write_and_read(spark, docs, PATH, 2, special=True).collect()) == want
