@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from patronage.llm import bpe, decontaminate, language_id, lattice_dedup, license_scan, lm_score, ngram_jaccard, suffix_dedup, token_files, url_filter
+from patronage.llm import bpe, decontaminate, language_id, lattice_dedup, license_scan, lm_score, ngram_jaccard, piece_bpe, suffix_dedup, token_files, url_filter
 from patronage.llm.oracle import ORACLE
 
 
@@ -76,6 +76,11 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", size.alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_piece_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """SentencePiece ids of every document, compared with the library, and the texts they decode to, as digests."""
+    return piece_bpe.digests(spark, _table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_byte_bpe": op2_byte_bpe,
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_decontamination": op9_decontamination,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_piece_bpe": op11_piece_bpe,
 }
 
 
