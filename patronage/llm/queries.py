@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from patronage.llm import bpe, decontaminate, language_id, lattice_dedup, license_scan, lm_score, ngram_jaccard, piece_bpe, suffix_dedup, token_files, url_filter
+from patronage.llm import bpe, decontaminate, language_id, lattice_dedup, license_scan, lm_score, ngram_jaccard, periodic_runs, piece_bpe, suffix_dedup, token_files, url_filter
 from patronage.llm.oracle import ORACLE
 
 
@@ -81,6 +81,23 @@ def op11_piece_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return piece_bpe.digests(spark, _table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Repeating stretches of words in every document, with periods planted in a tenth of them."""
+    docs = periodic_runs.with_planted(_table(spark, folder, "documents").select("doc_id", "text"))
+    best = periodic_runs.strongest(F.col("runs"))
+    found = periodic_runs.find(docs).withColumn("best", best)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(periodic_runs.as_lines(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_byte_bpe": op2_byte_bpe,
@@ -93,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_piece_bpe": op11_piece_bpe,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 
