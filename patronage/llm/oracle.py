@@ -99,5 +99,32 @@ WITH RECURSIVE v AS (
 ), named AS (SELECT id, min(other) AS component_id FROM reached GROUP BY id), degrees AS (SELECT a, count(*) AS n FROM links GROUP BY a)
 SELECT vec_id, coalesce(n, 0) AS n_links, component_id, component_id = vec_id AS kept
 FROM embeddings JOIN named ON id = vec_id LEFT JOIN degrees ON a = vec_id
+""",
+    "op13_collocations": r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS piece, lang, list_filter(regexp_split_to_array(line, '[ \t]+'), lambda w: w <> '') AS words FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS line FROM documents)
+), places AS (
+  SELECT piece, lang, unnest(words) AS w, generate_subscripts(words, 1) AS at FROM pieces
+), f1 AS (SELECT lang, w AS x, count(*) AS f FROM places GROUP BY ALL), ahead AS (
+  SELECT lang, w AS a, lead(w) OVER o AS b, lead(w, 2) OVER o AS c FROM places WINDOW o AS (PARTITION BY piece ORDER BY at)
+), f2 AS (SELECT lang, a || ' ' || b AS x, a, b, count(*) AS f FROM ahead WHERE b IS NOT NULL GROUP BY ALL),
+f3 AS (SELECT lang, a || ' ' || b || ' ' || c AS x, a, b, c, count(*) AS f FROM ahead WHERE c IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+inner_pairs AS (
+  SELECT lang, x, max(f) AS m FROM (SELECT lang, a || ' ' || b AS x, f FROM f3 UNION ALL SELECT lang, b || ' ' || c, f FROM f3) GROUP BY lang, x
+), cuts AS (
+  SELECT f2.lang, f2.x, f2.f AS a, 1 AS k, p.f AS l, q.f AS r FROM f2 JOIN f1 p ON p.lang = f2.lang AND p.x = f2.a JOIN f1 q ON q.lang = f2.lang AND q.x = f2.b
+  LEFT JOIN inner_pairs i ON i.lang = f2.lang AND i.x = f2.x WHERE f2.f >= 10 AND (i.m IS NULL OR 100 * i.m < 50 * f2.f)
+  UNION ALL SELECT f3.lang, f3.x, f3.f, 1, p.f, q.f FROM f3 JOIN f1 p ON p.lang = f3.lang AND p.x = f3.a JOIN f2 q ON q.lang = f3.lang AND q.x = f3.b || ' ' || f3.c
+  UNION ALL SELECT f3.lang, f3.x, f3.f, 2, p.f, q.f FROM f3 JOIN f2 p ON p.lang = f3.lang AND p.x = f3.a || ' ' || f3.b JOIN f1 q ON q.lang = f3.lang AND q.x = f3.c
+), scored AS (
+  SELECT lang, x AS phrase, a, l, r, (1000000::HUGEINT * a * a // (l::HUGEINT * r))::BIGINT AS score, k FROM cuts
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM lowest
+)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM ranked JOIN (SELECT lang, sum(f)::BIGINT AS n FROM f1 GROUP BY lang) USING (lang) WHERE rank <= 2000
 """,
 }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from patronage.llm import bpe, decontaminate, language_id, lattice_dedup, license_scan, lm_score, ngram_jaccard, periodic_runs, piece_bpe, suffix_dedup, token_files, url_filter
+from patronage.llm import bpe, collocations, decontaminate, language_id, lattice_dedup, license_scan, lm_score, ngram_jaccard, periodic_runs, piece_bpe, suffix_dedup, token_files, url_filter
 from patronage.llm.oracle import ORACLE
 
 
@@ -98,6 +98,11 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2,000 phrases of two or three words of each language that stand out most from their parts' counts."""
+    return collocations.mine(spark, _table(spark, folder, "documents").select("text", "lang"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_byte_bpe": op2_byte_bpe,
@@ -111,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_piece_bpe": op11_piece_bpe,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_collocations": op13_collocations,
 }
 
 
