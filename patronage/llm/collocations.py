@@ -41,17 +41,19 @@ def _codes(length: int, begin: int = 1) -> list[str]:
 
 @contextmanager
 def _merge_by_place(spark: SparkSession) -> Iterator[None]:
-    """Within this block a join on piece and place may use that both sides lie in buckets by piece alone.
+    """Within this block a join on piece and place may use that both sides lie in buckets by piece alone, each a sorted file.
 
-    It only saves an exchange; a join planned without it gives the same rows.
+    It only saves an exchange and a sort; a join planned without it gives the same rows.
     """
-    name = "spark.sql.requireAllClusterKeysForCoPartition"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "false")
+    wanted = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.legacy.bucketedTableScan.outputOrdering": "true"}
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 class Relations:

@@ -105,9 +105,9 @@ WITH pieces AS (
   SELECT row_number() OVER () AS piece, lang, list_filter(regexp_split_to_array(line, '[ \t]+'), lambda w: w <> '') AS words FROM (
     SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS line FROM documents)
 ), places AS (
-  SELECT piece, lang, unnest(words) AS w, generate_subscripts(words, 1) AS at FROM pieces
+  SELECT piece, lang, unnest(words) AS w, generate_subscripts(words, 1) AS pos FROM pieces
 ), f1 AS (SELECT lang, w AS x, count(*) AS f FROM places GROUP BY ALL), ahead AS (
-  SELECT lang, w AS a, lead(w) OVER o AS b, lead(w, 2) OVER o AS c FROM places WINDOW o AS (PARTITION BY piece ORDER BY at)
+  SELECT lang, w AS a, lead(w) OVER o AS b, lead(w, 2) OVER o AS c FROM places WINDOW o AS (PARTITION BY piece ORDER BY pos)
 ), f2 AS (SELECT lang, a || ' ' || b AS x, a, b, count(*) AS f FROM ahead WHERE b IS NOT NULL GROUP BY ALL),
 f3 AS (SELECT lang, a || ' ' || b || ' ' || c AS x, a, b, c, count(*) AS f FROM ahead WHERE c IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
 inner_pairs AS (
