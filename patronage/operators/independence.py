@@ -48,10 +48,9 @@ def chi_square(counts: DataFrame, row: str, column: str, n: str) -> DataFrame:
     freedom the continuity correction applies.
 
     ``counts`` is already grouped: it has one row per cell with a customer, and a window below sees
-    the cells of one label. A cell nobody falls in adds its expected count, and these add up to
+    the cells of one label or all cells, never data rows; it is evaluated once. A cell nobody falls in adds its expected count, and these add up to
     what the other cells leave of the total.
     """
-    everything = counts.agg(F.sum(n).cast("double")).scalar()
     with_totals = counts.select(
         F.col(row).alias("_r"),
         F.col(column).alias("_c"),
@@ -60,7 +59,7 @@ def chi_square(counts: DataFrame, row: str, column: str, n: str) -> DataFrame:
         F.count(n).over(W.partitionBy(row)).alias("_row_cells"),
         F.sum(n).over(W.partitionBy(column)).cast("double").alias("_column"),
         F.count(n).over(W.partitionBy(column)).alias("_column_cells"),
-        everything.alias("_all"),
+        F.sum(n).over(W.partitionBy()).cast("double").alias("_all"),
     ).withColumn("_e", F.col("_row") * F.col("_column") / F.col("_all"))
     gap = F.col("_o") - F.col("_e")
     sums = with_totals.agg(

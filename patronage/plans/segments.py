@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from patronage.functions import bands, numeric
 from patronage.operators.facts import customer_timeline, customer_totals, delivered, snapshot_date
-from patronage.operators.ranking import ntile, ordered
+from patronage.operators.ranking import tiles_by_selection
 from patronage.operators.relational import reindexed
 from patronage.plans.retention import WINDOW_DAYS, with_flags
 
@@ -31,18 +31,15 @@ def customer_rfm(orders: DataFrame, snapshot: Column | None = None) -> DataFrame
 def rfm_scores(orders: DataFrame, snapshot: Column | None = None, tiles: int = 4) -> DataFrame:
     """Quartile scores, their total, the segment and the spend per customer.
 
-    The three orders are three range shuffles of the customer rows, one after the other: each
-    score needs its own total order. Nothing is joined back.
+    The three orders need no sort of the customers: the last customer of each quartile is selected from
+    counts of ranges, and every score is a comparison with three customers.
     """
-    scored = customer_rfm(orders, snapshot)
-    directions = (
-        ("r_score", F.col("recency_days").desc()),
-        ("f_score", F.col("frequency").asc()),
-        ("m_score", F.col("monetary").asc()),
-    )
-    for name, key in directions:
-        ranked = ordered(scored, [key, F.col("customer_id").asc()]).ranked("_rank", total="_rows")
-        scored = ranked.withColumn(name, ntile(F.col("_rank"), F.col("_rows"), tiles)).drop("_rank", "_rows")
+    orders_by = {
+        "r_score": [F.col("recency_days").desc(), F.col("customer_id").asc()],
+        "f_score": [F.col("frequency").asc(), F.col("customer_id").asc()],
+        "m_score": [F.col("monetary").asc(), F.col("customer_id").asc()],
+    }
+    scored = tiles_by_selection(customer_rfm(orders, snapshot), orders_by, tiles)
     return scored.select(
         "customer_id",
         "r_score",
