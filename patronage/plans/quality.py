@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
+from functools import cache, reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patronage.functions import calendar, numeric
 from patronage.operators.facts import customer_totals
-from patronage.operators.ranking import exact_quantile, value_histogram
+from patronage.operators.ranking import value_histogram
 from patronage.operators.relational import membership_flag
 from patronage.plans.revenue import by_spend, top_fraction_share
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+#: A sketch of quantiles errs by at most one in so many ranks.
+SKETCH = 10_000
 
 
 def _stacked(frames: Sequence[DataFrame]) -> DataFrame:
@@ -201,32 +203,88 @@ def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column: count, mean, sample deviation, min, quartiles (linear), max. Columns are numeric.
 
     Values keep their precision: whole numbers and decimals meet in a decimal of the largest scale,
-    and as soon as one column is floating, all are doubles. Count, mean, deviation and bounds come from one
-    plain aggregate over the rows; quartiles from a histogram of distinct values.
+    and as soon as one column is floating, all are doubles. Two passes over the rows, for all columns
+    together, without a sort of the rows: the first, made at once, gives count, mean, deviation and bounds and, from sketches of
+    bounded size, two values around each quartile; the second counts what lies below them exactly. Only
+    values between them are counted one by one, and the quartile is the one at its exact rank.
     """
     kinds = [df.schema[c].dataType for c in columns]
     floating = any(isinstance(k, (T.DoubleType, T.FloatType)) for k in kinds)
     scale = max((k.scale for k in kinds if isinstance(k, T.DecimalType)), default=0)
     common = "double" if floating else f"decimal(38,{scale})"
-    value = F.col("value")
-    cells = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast(common).alias("value")) for c in columns])
-    long = df.select(F.explode(cells).alias("cell")).select("cell.metric", "cell.value").filter(value.isNotNull())
     moments = df.agg(
-        F.map_from_arrays(
-            F.array(*[F.lit(c) for c in columns]),
-            F.array(*[
-                F.struct(
-                    F.count(c).alias("n"),
-                    F.avg(F.col(c).cast("double")).alias("mean"),
-                    F.stddev_samp(F.col(c).cast("double")).alias("std"),
-                    F.min(F.col(c).cast(common)).alias("min"),
-                    F.max(F.col(c).cast(common)).alias("max"),
-                )
-                for c in columns
-            ]),
-        ).alias("m")
-    ).select(F.explode("m").alias("metric", "v")).select("metric", "v.*")
-    quartiles = value_histogram(long, "metric", "value").groupBy("metric").agg(
-        *[exact_quantile("value", p).alias(name) for name, p in QUARTILES.items()]
+        *[
+            F.struct(
+                F.lit(c).alias("metric"),
+                F.count(c).alias("n"),
+                F.avg(F.col(c).cast("double")).alias("mean"),
+                F.stddev_samp(F.col(c).cast("double")).alias("std"),
+                F.min(F.col(c).cast(common)).alias("min"),
+                F.max(F.col(c).cast(common)).alias("max"),
+                F.approx_percentile(F.col(c).cast("double"), [x for p in QUARTILES.values() for x in (p - 2 / SKETCH, p + 2 / SKETCH)], SKETCH).alias("around"),
+            ).alias(f"c{i}")
+            for i, c in enumerate(columns)
+        ]
+    ).select(F.array(*[f"c{i}" for i in range(len(columns))]).alias("m"))
+    found = moments.first()["m"]  # one row of figures and sketched bounds
+    quartiles = _exact_quartiles(df.select(*[F.col(c).cast(common).alias(f"v{i}") for i, c in enumerate(columns)]), [row.around for row in found], columns)
+    literal = [F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in moments.schema["m"].dataType.elementType.fields if f.name != "around"]) for row in found]
+    summed = df.sparkSession.range(1).select(F.inline(F.array(*literal))).filter("n > 0")
+    return summed.join(F.broadcast(quartiles), "metric").select("metric", "n", "mean", "std", "min", *QUARTILES, "max")  # one row per column
+
+
+def _exact_quartiles(values: DataFrame, around: Sequence[Sequence[float] | None], columns: Sequence[str]) -> DataFrame:
+    """metric and its quartiles, from the values v0, v1, ... and two values around each quartile.
+
+    A sketch errs by less than the margin taken. Among few rows the quartile may be the value next to the
+    two, so these neighbours are kept as well; anything else would be an error of the sketch and ends the job.
+    """
+    every = [(i, j) for i in range(len(columns)) for j in range(len(QUARTILES))]
+    part = {ij: k for k, ij in enumerate(every)}
+
+    @cache
+    def sides(i: int, j: int) -> tuple[Column, Column, Column]:
+        """Whether a value lies below, between or above; with a margin for what a double cannot hold."""
+        value = F.col(f"v{i}").cast("double")
+        if around[i] is None:  # a column without a value
+            return (F.lit(False),) * 3
+        low, high = around[i][2 * j : 2 * j + 2]
+        low, high = low - abs(low) * 1e-15, high + abs(high) * 1e-15
+        return value < low, (value >= low) & (value <= high), value > high
+
+    counted = values.agg(
+        *[
+            F.struct(
+                F.lit(part[i, j]).alias("part"),
+                F.lit(columns[i]).alias("metric"),
+                ((F.count(f"v{i}") - 1) * F.lit(float(p))).alias("point"),
+                F.count_if(sides(i, j)[0]).alias("n_below"),
+                F.count_if(sides(i, j)[1]).alias("n_between"),
+                F.max(F.when(sides(i, j)[0], F.col(f"v{i}"))).alias("below"),
+                F.min(F.when(sides(i, j)[2], F.col(f"v{i}"))).alias("above"),
+            ).alias(f"p{part[i, j]}")
+            for i in range(len(columns))
+            for j, p in enumerate(QUARTILES.values())
+        ]
+    ).select(F.inline(F.array(*[f"p{k}" for k in range(len(every))])))
+    inside = F.array_compact(F.array(*[F.when(sides(i, j)[1], F.struct(F.lit(part[i, j]).alias("part"), F.col(f"v{i}").alias("value"))) for i, j in every]))
+    # where the ranges of values may be cut, as the sketch knows; this takes the place of a sample
+    cuts = [Row(part=part[i, j], value=low + (high - low) * k / 8) for i, j in every if around[i] for low, high in [around[i][2 * j : 2 * j + 2]] for k in range(9)]
+    between = value_histogram(values.select(F.inline(inside)), "part", "value", cuts)
+    upto = F.col("n_below") + F.col("upto")
+    picked = between.join(F.broadcast(counted), "part").groupBy("part").agg(  # one row per column and quartile
+        F.min(F.when(upto > F.floor("point"), F.col("value"))).alias("low"), F.min(F.when(upto > F.ceil("point"), F.col("value"))).alias("high")
     )
-    return moments.filter("n > 0").join(quartiles, "metric").select("metric", "n", "mean", "std", "min", *QUARTILES, "max")
+
+    def at(rank: Column, found: str) -> Column:
+        wrong = (rank < F.col("n_below") - 1) | (rank > F.col("n_below") + F.col("n_between"))
+        return (
+            F.when(wrong, F.raise_error(F.lit("a quartile lies outside its sketch")).cast("double"))
+            .when(rank < F.col("n_below"), F.col("below").cast("double"))
+            .when(rank >= F.col("n_below") + F.col("n_between"), F.col("above").cast("double"))
+            .otherwise(F.col(found).cast("double"))
+        )
+
+    low, high = at(F.floor("point"), "low"), at(F.ceil("point"), "high")
+    exact = counted.filter("point >= 0").join(picked, "part", "left").select("metric", (F.col("part") % len(QUARTILES)).alias("which"), (low + (high - low) * (F.col("point") - F.floor("point"))).alias("quartile"))
+    return exact.groupBy("metric").agg(*[F.max(F.when(F.col("which") == j, F.col("quartile"))).alias(name) for j, name in enumerate(QUARTILES)])

@@ -121,3 +121,14 @@ def test_month_filter_reads_only_its_folders(spark, tmp_path):
     kept = spark.read.parquet(str(tmp_path / "orders")).filter("order_month = '2024-02'")
     assert kept.count() == 2
     assert "PartitionFilters: [isnotnull(order_month" in kept._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("kind", ["decimal(12,2)", "double", "bigint"])
+def test_quartiles_are_exact_on_many_rows_and_ties(spark, layout, kind):
+    value = F.when(F.col("id") % 3 == 0, F.lit(5000)).otherwise(F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 100)
+    df = spark.range(60_000).select(value.cast(kind).alias("a"), F.when(F.col("id") % 7 > 0, (F.col("id") % 4).cast(kind)).alias("b"), F.lit(None).cast(kind).alias("c"))
+    found = {r.metric: r for r in quality.numeric_summary(df, ["a", "b", "c"]).collect()}
+    assert set(found) == {"a", "b"}
+    for name, row in found.items():
+        expected = df.agg(F.percentile(F.col(name).cast("double"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))).first()[0]
+        assert [row.q25, row.q50, row.q75] == pytest.approx(expected, rel=1e-12)
