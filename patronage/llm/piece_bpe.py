@@ -26,7 +26,7 @@ from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType, Stru
 from patronage.llm.pieces import Memory, id_lists, small
 
 MARK = "▁"
-REMEMBER = 500_000
+REMEMBER = 150_000
 SLICE_BYTES = 2 << 20
 FEW = 40
 NEVER = float("inf")
