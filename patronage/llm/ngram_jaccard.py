@@ -16,8 +16,9 @@ Frequent is what falls into a heavy cell of a table of counts whose size is fixe
 frequent decides only how much work there is, never which links are found.
 
 Equal sets are one node. Sets that share an index entry are first linked to one of them only
-(the entry's pivot); entries that lie within one component are done, and only what remains between
-components is paired. Of these pairs, sizes and bit sketches rule out most before they are given out: a
+(the entry's pivot). Entries that lie within one component are done; in the others, nodes are compared
+with pivots of other components, drawn anew each round, as long as that finds links. Each round compares at
+most ``PIVOTS`` pairs for each node. Only what then remains between components is paired. Of these pairs, sizes and bit sketches rule out most before they are given out: a
 sketch flips one bit for each token, so two sketches differ in no more bits than the sets differ in
 tokens. Every pair that is left is compared by the whole sets.
 """
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from patronage.llm.shared import bitmap, components, in_bitmap, stored
@@ -39,6 +40,8 @@ SLOT_BITS = 16
 LEAST_FREQUENT = 64
 SKETCH = 8
 PAIRS = 200_000
+ROUNDS = 6
+PIVOTS = 3
 MIXED = (1 << 31) - 1
 _LONG = np.iinfo(np.int64).max
 
@@ -305,31 +308,57 @@ def link(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80
         "entries",
     )
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        pairs = stored(spark, pairs, "pairs")
-        ends = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
+    def sets_of(ends: DataFrame) -> DataFrame:
         wanted = spark.sparkContext.broadcast(bitmap(ends, 24))
         sets = named.mapInArrow(lambda it: _sets(it, width, wanted.value), "fp long, tokens binary").dropDuplicates(["fp"])
-        sets = stored(spark, sets.join(ends, "fp", "left_semi"), "sets")
+        return stored(spark, sets.join(ends, "fp", "left_semi"), "sets")
+
+    def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         joined = pairs.join(sets.select(F.col("fp").alias("a"), F.col("tokens").alias("left")), "a").join(sets.select(F.col("fp").alias("b"), F.col("tokens").alias("right")), "b")
         return stored(spark, joined.select("a", "b", "left", "right").mapInArrow(lambda it: _linked(it, percent), "a long, b long"), "links")
 
-    # first, each node with the pivot that it shares the most entries with
-    star = common.where("fp <> pivot").groupBy("fp", "pivot").agg(F.count("*").alias("n"), F.max("info").alias("info"), F.max("pivot_info").alias("pivot_info"))
-    sizes = [F.shiftright(c, 32) for c in ("info", "pivot_info")]
-    star = star.where((F.col("n") * 2 >= _needed("info", "pivot_info")) & (100 * F.least(*sizes) >= percent * F.greatest(*sizes)))
-    star = star.groupBy(F.col("fp").alias("a")).agg(F.max_by("pivot", F.struct("n", "pivot")).alias("b"))
-    links = verified(star)
-    labels = components(spark, links)
-    # then, what index entries hold of different components
-    label = F.coalesce("component", "fp")
-    labelled = stored(spark, common.join(labels, common.fp == labels.node, "left").select("entry", "fp", "info", label.alias("label")), "labelled")
-    open_ = labelled.groupBy("entry").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("entry")
+    def best_pivots(shared: DataFrame, most: int) -> DataFrame:
+        """Pairs (a, b) of each node and the ``most`` pivots that it shares the most entries with, of those that may link."""
+        star = shared.groupBy("fp", "pivot").agg(F.count("*").alias("n"), F.max("info").alias("info"), F.max("pivot_info").alias("pivot_info"))
+        sizes = [F.shiftright(c, 32) for c in ("info", "pivot_info")]
+        star = star.where((F.col("n") * 2 >= _needed("info", "pivot_info")) & (100 * F.least(*sizes) >= percent * F.greatest(*sizes)))
+        place = F.row_number().over(Window.partitionBy("fp").orderBy(F.desc("n"), F.desc("pivot")))
+        return star.withColumn("place", place).where(F.col("place") <= most).select(F.col("fp").alias("a"), F.col("pivot").alias("b"))
+
+    def between(entries: DataFrame, links: DataFrame, name: str) -> DataFrame:
+        """Rows of the entries that hold nodes of several components, with the node's component as label."""
+        labels = components(spark, links)
+        labelled = entries.join(labels, entries.fp == labels.node, "left").select("entry", "fp", "info", F.coalesce("component", "fp").alias("label"))
+        labelled = stored(spark, labelled, name)
+        several = labelled.groupBy("entry").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("entry")
+        return stored(spark, labelled.join(several, "entry", "left_semi"), name)
+
+    # first, each node with the first node of its entries
+    pairs = stored(spark, best_pivots(common.where("fp <> pivot"), 1), "pairs")
+    links = verified(pairs, sets_of(pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()))
+    rest = between(common, links, "open")
+    # then, with pivots of other components, drawn anew each round; a failed pair is not tried again
+    sets = sets_of(rest.select("fp").distinct())
+    tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    for turn in range(ROUNDS):
+        drawn = F.min_by(F.struct("fp", "info", "label"), F.struct(F.xxhash64("fp", F.lit(turn)), "fp")).alias("drawn")
+        pivots = rest.groupBy("entry").agg(drawn).select("entry", *(F.col(f"drawn.{c}").alias(d) for c, d in (("fp", "pivot"), ("info", "pivot_info"), ("label", "pivot_label"))))
+        shared = rest.join(pivots, "entry").where("label <> pivot_label").select(F.least("fp", "pivot").alias("a"), F.greatest("fp", "pivot").alias("b"), "fp", "info", "pivot", "pivot_info")
+        pairs = best_pivots(shared.join(tried, ["a", "b"], "left_anti"), PIVOTS)
+        pairs = stored(spark, pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+        found = verified(pairs, sets)
+        tried = tried.union(pairs)
+        if found.isEmpty():
+            break
+        links = links.union(found)
+        rest = between(rest.select("entry", "fp", "info"), links, "open")
+    # last, all that index entries still hold of different components
     sketch = nodes.where("fp <> 0").groupBy("fp").agg(*(F.max(c).alias(c) for c in _BITS))
-    rest = labelled.join(open_, "entry", "left_semi").join(sketch, "fp").repartition("entry").sortWithinPartitions("entry", "fp")
+    rest = rest.join(sketch, "fp").repartition("entry").sortWithinPartitions("entry", "fp")
     pairs = rest.mapInArrow(lambda it: _cross_pairs(it, percent), "a long, b long, a_info long, b_info long")
     pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("n"), F.max("a_info").alias("a_info"), F.max("b_info").alias("b_info"))
-    more = verified(pairs.where(F.col("n") >= _needed("a_info", "b_info")).select("a", "b"))
+    pairs = pairs.where(F.col("n") >= _needed("a_info", "b_info")).select("a", "b").join(tried, ["a", "b"], "left_anti")
+    more = verified(stored(spark, pairs, "pairs"), sets)
     # components of nodes, named by the smallest doc_id of a node's documents
     first = stored(spark, nodes.where("fp <> 0").groupBy("fp").agg(F.min("doc_id").alias("doc")), "first")
     edges = links.union(more)
