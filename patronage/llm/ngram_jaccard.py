@@ -17,7 +17,7 @@ frequent decides only how much work there is, never which links are found.
 
 Equal sets are one node. Sets that share an index entry are first linked to one of them only
 (the entry's pivot). Entries that lie within one component are done; in the others, nodes are compared
-with pivots of other components, drawn anew each round, as long as that finds links. Each round compares at
+with pivots of other components, drawn anew each round for each of ``PIVOTS`` classes of entries, as long as that finds links. Each round compares at
 most ``PIVOTS`` pairs for each node. Only what then remains between components is paired. Of these pairs, sizes and bit sketches rule out most before they are given out: a
 sketch flips one bit for each token, so two sketches differ in no more bits than the sets differ in
 tokens. Every pair that is left is compared by the whole sets.
@@ -321,7 +321,7 @@ def link(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80
         """Pairs (a, b) of each node and the ``most`` pivots that it shares the most entries with, of those that may link."""
         star = shared.groupBy("fp", "pivot").agg(F.count("*").alias("n"), F.max("info").alias("info"), F.max("pivot_info").alias("pivot_info"))
         sizes = [F.shiftright(c, 32) for c in ("info", "pivot_info")]
-        star = star.where((F.col("n") * 2 >= _needed("info", "pivot_info")) & (100 * F.least(*sizes) >= percent * F.greatest(*sizes)))
+        star = star.where((F.col("n") * 2 * most >= _needed("info", "pivot_info")) & (100 * F.least(*sizes) >= percent * F.greatest(*sizes)))
         place = F.row_number().over(Window.partitionBy("fp").orderBy(F.desc("n"), F.desc("pivot")))
         return star.withColumn("place", place).where(F.col("place") <= most).select(F.col("fp").alias("a"), F.col("pivot").alias("b"))
 
@@ -341,7 +341,7 @@ def link(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80
     sets = sets_of(rest.select("fp").distinct())
     tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     for turn in range(ROUNDS):
-        drawn = F.min_by(F.struct("fp", "info", "label"), F.struct(F.xxhash64("fp", F.lit(turn)), "fp")).alias("drawn")
+        drawn = F.min_by(F.struct("fp", "info", "label"), F.struct(F.xxhash64("fp", F.lit(turn), F.pmod("entry", F.lit(PIVOTS))), "fp")).alias("drawn")
         pivots = rest.groupBy("entry").agg(drawn).select("entry", *(F.col(f"drawn.{c}").alias(d) for c, d in (("fp", "pivot"), ("info", "pivot_info"), ("label", "pivot_label"))))
         shared = rest.join(pivots, "entry").where("label <> pivot_label").select(F.least("fp", "pivot").alias("a"), F.greatest("fp", "pivot").alias("b"), "fp", "info", "pivot", "pivot_info")
         pairs = best_pivots(shared.join(tried, ["a", "b"], "left_anti"), PIVOTS)

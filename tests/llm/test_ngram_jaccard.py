@@ -42,6 +42,28 @@ def test_a_large_group_of_near_copies_of_frequent_tokens(spark, monkeypatch):
     check(spark, families(2, 2, 150, 90))
 
 
+@pytest.mark.parametrize("copies", [800, 2000])
+def test_near_copies_are_compared_in_linear_number(spark, monkeypatch, copies):
+    source, rows, counted = random.Random(4), [], {"pairs": 0, "links": 0}
+    base = [f"w{k}" for k in range(300)]
+    for k in range(copies):
+        text = list(base)
+        for _ in range(source.randrange(4)):  # any two of them link
+            text[source.randrange(300)] = f"v{source.randrange(10**6)}"
+        rows.append((k, " ".join(text)))
+
+    def counting(session, table, name):
+        out = shared.stored(session, table, name)
+        if name in counted:
+            counted[name] += out.count()
+        return out
+
+    monkeypatch.setattr(ngram_jaccard, "stored", counting)
+    found = ngram_jaccard.link(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()
+    assert {r.component_id for r in found} == {0}
+    assert counted["pairs"] <= 4 * copies and counted["links"] <= 3 * copies, counted
+
+
 def test_a_passage_in_many_texts_links_nothing(spark):
     source = random.Random(3)
     passage = " ".join(f"p{k}" for k in range(60))
