@@ -96,7 +96,7 @@ class Coder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.pieces = Memory(REMEMBER)
+        self.pieces, self.runs = Memory(REMEMBER), Memory(REMEMBER)
         rows = [(ranks[w[:k]], ranks[w[k:]], i) for w, i in ranks.items() for k in range(1, len(w)) if w[:k] in ranks and w[k:] in ranks]
         left, right, merged = (np.array(x, np.int32) for x in zip(*rows)) if rows else (np.zeros(0, np.int32),) * 3
         unsafe = np.unique(np.concatenate((left[left > merged], right[right > merged])))
@@ -184,7 +184,7 @@ class Coder:
         bounds = np.flatnonzero(cut)
         raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64) * 4), pa.py_buffer(np.ascontiguousarray(ids, np.uint32))])
         coded = raw.dictionary_encode()
-        data, counts = gather(self.decode_runs(coded.dictionary.to_pylist()), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), 1)
+        data, counts = gather(self.runs.fill(coded.dictionary.to_numpy(zero_copy_only=False).tolist(), self.decode_runs), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), 1)
         ends = np.concatenate(([0], np.cumsum(counts)))
         return data, ends[np.searchsorted(bounds, edges)]
 
@@ -255,7 +255,7 @@ def digests(spark: SparkSession, docs: DataFrame, path: str, pattern: str, with_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = coder(shared, pattern)
-        tool.pieces.size = remember
+        tool.pieces.size = tool.runs.size = remember
         for batch in small(batches, "text", 2 << 20 if remember < REMEMBER else 4 << 20):
             ids, edges = encode_slice(batch.column("text"), tool.pieces, tool.encode)
             data, ends = tool.decode(ids, edges)
