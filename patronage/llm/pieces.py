@@ -72,11 +72,11 @@ def encode_slice(column: pa.Array, memory: Memory, compute: Callable[[list[str]]
     codes = parts.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     edges = np.asarray(lists.offsets, np.int64)
     edges = edges - edges[0]
-    distinct = parts.dictionary.to_pylist()
-    keys = [" " + x for x in distinct]
+    spaced = pc.binary_join_element_wise("", parts.dictionary, " ")
+    keys = spaced.to_numpy(zero_copy_only=False).tolist()
     first, place = np.unique(codes[edges[:-1]], return_inverse=True)
-    keys += [distinct[k] for k in first]
-    codes[edges[:-1]] = len(distinct) + place
+    codes[edges[:-1]] = len(keys) + place
+    keys += parts.dictionary.take(pa.array(first)).to_pylist()
     texts = np.flatnonzero(whole)
     codes[edges[:-1][texts]] = len(keys) + np.arange(len(texts))
     keys += [column[int(k)].as_py() for k in texts]

@@ -25,8 +25,13 @@ BITS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.int64
 
 def _widths(values: np.ndarray) -> np.ndarray:
     width = np.zeros(values.shape, np.uint8)
+    top = int(values.max(initial=0))
+    if top < 1 << 32:
+        values = values.astype(np.uint32)
     for bits in sorted(set(BITS.tolist())):
-        width[values >> np.uint64(bits) != 0] = bits + 1
+        if top >> bits == 0:
+            break
+        np.copyto(width, bits + 1, where=values >= values.dtype.type(1 << bits))
     return width  # at least one more than each selector's bits that are too few
 
 

@@ -48,7 +48,9 @@ class _Encoder:
 
     def __call__(self, strings: list[str]) -> list[bytes]:
         # a space before a visible character begins a new match whatever stands before it
-        joined = [] if self.spaced else [at for at, text in enumerate(strings) if text[:1] == " " and text[1:2].strip() and not any(x in text for x in self.added)]
+        together = "\n".join(strings)
+        added = [x for x in self.added if x in together]
+        joined = [] if self.spaced else [at for at, text in enumerate(strings) if text[:1] == " " and text[1:2].strip() and not (added and any(x in text for x in added))]
         out: list = [b""] * len(strings)
         taken = set(joined) if len(joined) < len(strings) else ()
         alone = [at for at in range(len(strings)) if at not in taken] if len(joined) < len(strings) else []
