@@ -10,7 +10,9 @@ Decoding joins ids with the vocabulary and aggregates their bytes in order.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
+import tempfile
 import threading
 from collections.abc import Iterator
 
@@ -26,6 +28,8 @@ from patronage.llm.pieces import Memory, encode_slice, gather, id_lists, small
 LONG_WORD = 48
 WORDS = 20_000
 REMEMBER = 200_000
+#: What DuckDB may hold in a Python worker; beyond it, it spills to the worker's own temporary folder.
+MEMORY = "512MB"
 _MASK = (1 << 32) - 1
 
 #: State: word, position, token, next token, key of the pair (rank << 32 | position), least key of the word.
@@ -102,8 +106,7 @@ class Coder:
         unsafe = np.unique(np.concatenate((left[left > merged], right[right > merged])))
         self.space_first = np.zeros(max(ranks.values()) + 1, bool)
         self.space_first[[i for w, i in ranks.items() if w[:1] == b" "]] = True
-        self.connection = duckdb.connect()
-        self.connection.execute("SET threads = 1")
+        self.connection = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": tempfile.gettempdir()})
         for name, columns in {
             "merges": {"l": left, "r": right, "id": merged},
             "unsafe": {"id": unsafe},
@@ -202,6 +205,15 @@ def coder(shared, pattern: str) -> Coder:
     return _coders[key]
 
 
+def release() -> None:
+    """Close all coders of this Python worker, so that a worker that waits for other tasks holds nothing."""
+    with _lock:
+        for tool in _coders.values():
+            tool.connection.close()
+        _coders.clear()
+    gc.collect()
+
+
 def _schema(docs: DataFrame, more: str, without: tuple[str, ...] = ()) -> str:
     own = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema if f.name not in without]
     return ", ".join([*own, more])
@@ -248,7 +260,8 @@ def digests(spark: SparkSession, docs: DataFrame, path: str, pattern: str, with_
 
     The ids count as little-endian unsigned 32-bit integers. With ``with_ids`` the ids are kept as
     ``ids``. NULL and empty texts have no tokens, and the digests of no bytes. ``remember`` is how many
-    words each Python worker keeps between batches; it decides memory and time only.
+    words each Python worker keeps between batches; it decides memory and time only. With fewer than
+    ``REMEMBER`` a worker also gives back all its memory at the end of each task.
     """
     shared = spark.sparkContext.broadcast({"name": path, "ranks": read_ranks(path)})
     docs = docs.select("doc_id", "text")
@@ -256,18 +269,22 @@ def digests(spark: SparkSession, docs: DataFrame, path: str, pattern: str, with_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = coder(shared, pattern)
         tool.pieces.size = tool.runs.size = remember
-        for batch in small(batches, "text", 2 << 20 if remember < REMEMBER else 4 << 20):
-            ids, edges = encode_slice(batch.column("text"), tool.pieces, tool.encode)
-            data, ends = tool.decode(ids, edges)
-            out = {
-                "doc_id": batch.column("doc_id"),
-                "n_tokens": pa.array(np.diff(edges)),
-                "ids_sha256": pa.array([hashlib.sha256(ids[a:b]).hexdigest() for a, b in zip(edges[:-1], edges[1:])], pa.string()),
-                "decoded_sha256": pa.array([hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(ends[:-1], ends[1:])], pa.string()),
-            }
-            if with_ids:
-                out["ids"] = id_lists(ids, edges)
-            yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
+        try:
+            for batch in small(batches, "text", 2 << 20 if remember < REMEMBER else 4 << 20):
+                ids, edges = encode_slice(batch.column("text"), tool.pieces, tool.encode)
+                data, ends = tool.decode(ids, edges)
+                out = {
+                    "doc_id": batch.column("doc_id"),
+                    "n_tokens": pa.array(np.diff(edges)),
+                    "ids_sha256": pa.array([hashlib.sha256(ids[a:b]).hexdigest() for a, b in zip(edges[:-1], edges[1:])], pa.string()),
+                    "decoded_sha256": pa.array([hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(ends[:-1], ends[1:])], pa.string()),
+                }
+                if with_ids:
+                    out["ids"] = id_lists(ids, edges)
+                yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
+        finally:
+            if remember < REMEMBER:
+                release()
 
     more = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     return docs.mapInArrow(run, _schema(docs, more, ("text",)))
