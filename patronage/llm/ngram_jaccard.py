@@ -20,7 +20,8 @@ Equal sets are one node. Sets that share an index entry are first linked to one
 with pivots of other components, drawn anew each round for each of ``PIVOTS`` classes of entries, as long as that finds links. Each round compares at
 most ``PIVOTS`` pairs for each node. Only what then remains between components is paired. Of these pairs, sizes and bit sketches rule out most before they are given out: a
 sketch flips one bit for each token, so two sketches differ in no more bits than the sets differ in
-tokens. Every pair that is left is compared by the whole sets.
+tokens. Every pair that is left is compared by the whole sets. These are worked out again for the nodes of
+the pairs at hand, from one document each; the sets of all nodes are never written or exchanged.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from patronage.llm.shared import bitmap, components, in_bitmap, stored
+from patronage.llm.shared import bitmap, components, forget, in_bitmap, stored
 from patronage.llm.text import mix, shingle_sets, slices, texts
 
 CELL_BITS = 22
@@ -308,14 +309,23 @@ def link(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80
         "entries",
     )
 
+    first = stored(spark, nodes.where("fp <> 0").groupBy("fp").agg(F.min("doc_id").alias("doc")), "first")
+
     def sets_of(ends: DataFrame) -> DataFrame:
+        """fp and tokens of the nodes in ``ends`` (fp), each from the text of its smallest doc_id."""
         wanted = spark.sparkContext.broadcast(bitmap(ends, 24))
-        sets = named.mapInArrow(lambda it: _sets(it, width, wanted.value), "fp long, tokens binary").dropDuplicates(["fp"])
-        return stored(spark, sets.join(ends, "fp", "left_semi"), "sets")
-
-    def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        ids = stored(spark, first.join(ends, "fp", "left_semi").select(F.col("doc").alias("doc_id")), "ids")
+        sets = docs.join(ids, "doc_id", "left_semi").select("text").mapInArrow(lambda it: _sets(it, width, wanted.value), "fp long, tokens binary")
+        out = stored(spark, sets.dropDuplicates(["fp"]).join(ends, "fp", "left_semi"), "sets")
+        forget(spark, ids)
+        return out
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        sets = sets_of(pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct())
         joined = pairs.join(sets.select(F.col("fp").alias("a"), F.col("tokens").alias("left")), "a").join(sets.select(F.col("fp").alias("b"), F.col("tokens").alias("right")), "b")
-        return stored(spark, joined.select("a", "b", "left", "right").mapInArrow(lambda it: _linked(it, percent), "a long, b long"), "links")
+        links = stored(spark, joined.select("a", "b", "left", "right").mapInArrow(lambda it: _linked(it, percent), "a long, b long"), "links")
+        forget(spark, sets)
+        return links
 
     def best_pivots(shared: DataFrame, most: int) -> DataFrame:
         """Pairs (a, b) of each node and the ``most`` pivots that it shares the most entries with, of those that may link."""
@@ -331,14 +341,16 @@ def link(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80
         labelled = entries.join(labels, entries.fp == labels.node, "left").select("entry", "fp", "info", F.coalesce("component", "fp").alias("label"))
         labelled = stored(spark, labelled, name)
         several = labelled.groupBy("entry").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("entry")
-        return stored(spark, labelled.join(several, "entry", "left_semi"), name)
+        out = stored(spark, labelled.join(several, "entry", "left_semi"), name)
+        forget(spark, labelled)
+        return out
 
     # first, each node with the first node of its entries
     pairs = stored(spark, best_pivots(common.where("fp <> pivot"), 1), "pairs")
-    links = verified(pairs, sets_of(pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()))
+    links = verified(pairs)
     rest = between(common, links, "open")
+    forget(spark, common)
     # then, with pivots of other components, drawn anew each round; a failed pair is not tried again
-    sets = sets_of(rest.select("fp").distinct())
     tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     for turn in range(ROUNDS):
         drawn = F.min_by(F.struct("fp", "info", "label"), F.struct(F.xxhash64("fp", F.lit(turn), F.pmod("entry", F.lit(PIVOTS))), "fp")).alias("drawn")
@@ -346,21 +358,21 @@ def link(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80
         shared = rest.join(pivots, "entry").where("label <> pivot_label").select(F.least("fp", "pivot").alias("a"), F.greatest("fp", "pivot").alias("b"), "fp", "info", "pivot", "pivot_info")
         pairs = best_pivots(shared.join(tried, ["a", "b"], "left_anti"), PIVOTS)
         pairs = stored(spark, pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-        found = verified(pairs, sets)
+        found = verified(pairs)
         tried = tried.union(pairs)
         if found.isEmpty():
             break
         links = links.union(found)
-        rest = between(rest.select("entry", "fp", "info"), links, "open")
+        before, rest = rest, between(rest.select("entry", "fp", "info"), links, "open")
+        forget(spark, before)
     # last, all that index entries still hold of different components
     sketch = nodes.where("fp <> 0").groupBy("fp").agg(*(F.max(c).alias(c) for c in _BITS))
     rest = rest.join(sketch, "fp").repartition("entry").sortWithinPartitions("entry", "fp")
     pairs = rest.mapInArrow(lambda it: _cross_pairs(it, percent), "a long, b long, a_info long, b_info long")
     pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("n"), F.max("a_info").alias("a_info"), F.max("b_info").alias("b_info"))
     pairs = pairs.where(F.col("n") >= _needed("a_info", "b_info")).select("a", "b").join(tried, ["a", "b"], "left_anti")
-    more = verified(stored(spark, pairs, "pairs"), sets)
+    more = verified(stored(spark, pairs, "pairs"))
     # components of nodes, named by the smallest doc_id of a node's documents
-    first = stored(spark, nodes.where("fp <> 0").groupBy("fp").agg(F.min("doc_id").alias("doc")), "first")
     edges = links.union(more)
     edges = edges.join(first.select(F.col("fp").alias("a"), F.col("doc").alias("x")), "a").join(first.select(F.col("fp").alias("b"), F.col("doc").alias("y")), "b")
     found = components(spark, edges.select(F.col("x").alias("a"), F.col("y").alias("b")))

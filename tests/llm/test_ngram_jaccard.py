@@ -91,3 +91,24 @@ def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(k, k + 1) for k in range(1, 60)] + [(100, 100 + k) for k in range(1, 50)] + [(7, 7), (None, 3), (300, 299), (300, 299)]
     found = {r.node: r.component for r in shared.components(spark, spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {**{k: 1 for k in range(1, 61)}, **{k: 100 for k in range(100, 150)}, 299: 299, 300: 299}
+
+
+def test_only_sets_of_pairs_are_written_and_tables_are_deleted(spark, monkeypatch):
+    """Texts that share one passage but do not link are in open entries, yet their sets are not written."""
+    source, written, paths = random.Random(6), [], {}
+    passage = " ".join(f"p{k}" for k in range(12))
+    rows = [(k, passage + " " + " ".join(f"{k}x{source.randrange(10**6)}" for _ in range(60))) for k in range(200)]
+    rows += [(1000 + k, " ".join(f"y{j}" for j in range(60)) + f" z{k}") for k in range(3)]
+
+    def noting(session, table, name):
+        out = shared.stored(session, table, name)
+        written.append(out.count() if name == "sets" else 0)
+        paths.setdefault(name, []).extend(p.removeprefix("file:").replace("//", "") for p in out.inputFiles())
+        return out
+
+    monkeypatch.setattr(ngram_jaccard, "stored", noting)
+    found = {r.doc_id: r.component_id for r in ngram_jaccard.link(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert found == {**{k: k for k in range(200)}, 1000: 1000, 1001: 1000, 1002: 1000}
+    assert sum(written) < 50, written
+    for name in ("sets", "ids", "entries"):
+        assert paths[name] and not any(map(os.path.exists, paths[name])), name
