@@ -48,13 +48,11 @@ class Memory:
 def gather(values: list[bytes], codes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """The values of ``codes`` one after the other as an array of items of ``width`` bytes, and the items of each code."""
     kind = {1: np.uint8, 4: np.uint32}[width]
-    lengths = np.fromiter(map(len, values), np.int64, len(values)) // width
-    starts = np.cumsum(lengths) - lengths
-    flat = np.frombuffer(b"".join(values), kind)
-    counts = lengths[codes]
-    total = int(counts.sum())
-    shift = starts[codes] - (np.cumsum(counts) - counts)
-    return flat[np.repeat(shift, counts) + np.arange(total)], counts
+    taken = pa.array(values, pa.large_binary()).take(pa.array(codes))
+    if not len(taken) or taken.buffers()[2] is None:
+        return np.zeros(0, kind), np.zeros(len(taken), np.int64)
+    ends = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset : taken.offset + len(taken) + 1] // width
+    return np.frombuffer(taken.buffers()[2], kind, int(ends[-1]))[ends[0] :], np.diff(ends)
 
 
 def encode_slice(column: pa.Array, memory: Memory, compute: Callable[[list[str]], list[bytes]], added: Sequence[str] = ()) -> tuple[np.ndarray, np.ndarray]:

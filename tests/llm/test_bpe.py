@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -61,3 +62,26 @@ def test_decoding_takes_any_ids(spark):
     ranks = {i: w for w, i in bpe.read_ranks(PATH).items()}
     found = {r.k: bytes(r.decoded) for r in bpe.decode(spark, rows, PATH, public_tokenizers.PATTERN).collect()}
     assert found == {1: b"", 2: b"", 3: b"".join(ranks[i] for i in (0, 1, 2, 300))}
+
+
+def test_values_are_gathered_without_an_index_for_each_item():
+    """Results of codes one after the other, in little more memory than the result itself."""
+    import tracemalloc
+
+    from patronage.llm.pieces import gather
+
+    for width, kind in ((1, np.uint8), (4, np.uint32)):
+        values = [b"", b"abcd" * 2, b"wxyz", b"12345678" * 3]
+        codes = np.array([3, 0, 1, 1, 0, 2, 3])
+        data, counts = gather(values, codes, width)
+        assert data.dtype == kind and data.tobytes() == b"".join(values[k] for k in codes)
+        assert counts.tolist() == [len(values[k]) // width for k in codes]
+        for some, none in (([], []), ([b"", b""], [1, 0, 1])):
+            data, counts = gather(some, np.array(none, np.int64), width)
+            assert data.dtype == kind and len(data) == 0 and counts.tolist() == [0] * len(none)
+    codes = np.zeros(1000, np.int64)
+    tracemalloc.start()
+    data, _ = gather([b"x" * 10_000], codes, 1)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(data) == 10_000_000 and most < 2 * len(data)
