@@ -23,7 +23,7 @@ class Memory:
     A half has at most ``size`` entries and those of one slice more.
     """
 
-    def __init__(self, size: int = 300_000, longest: int = 64):
+    def __init__(self, size: int = 600_000, longest: int = 64):
         self.young: dict = {}
         self.old: dict = {}
         self.size, self.longest = size, longest
@@ -33,13 +33,16 @@ class Memory:
         found = list(map(self.young.get, keys))
         absent = [k for k, value in enumerate(found) if value is None]
         if absent:
-            earlier = list(map(self.old.get, [keys[k] for k in absent]))
-            missing = [k for k, value in zip(absent, earlier) if value is None]
-            for k, value in zip(absent, earlier):
+            names = [keys[k] for k in absent]
+            values = list(map(self.old.get, names))
+            missing = [k for k, value in enumerate(values) if value is None]
+            for k, value in zip(missing, compute([names[k] for k in missing]) if missing else ()):
+                values[k] = value
+            for k, value in zip(absent, values):
                 found[k] = value
-            for k, value in zip(missing, compute([keys[k] for k in missing]) if missing else ()):
-                found[k] = value
-            self.young.update((keys[k], found[k]) for k in absent if len(keys[k]) <= self.longest)
+            self.young.update(zip(names, values))
+            for name in [name for name in names if len(name) > self.longest]:
+                del self.young[name]
             if len(self.young) >= self.size:
                 self.old, self.young = self.young, {}
         return found

@@ -24,8 +24,14 @@ BITS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.int64
 
 
 def _widths(values: np.ndarray) -> np.ndarray:
-    width = np.zeros(values.shape, np.uint8)
     top = int(values.max(initial=0))
+    if top < len(_SMALL):
+        return _SMALL.take(values.astype(np.int64))
+    return _compared(values, top)
+
+
+def _compared(values: np.ndarray, top: int) -> np.ndarray:
+    width = np.zeros(values.shape, np.uint8)
     if top < 1 << 32:
         values = values.astype(np.uint32)
     for bits in sorted(set(BITS.tolist())):
@@ -35,6 +41,10 @@ def _widths(values: np.ndarray) -> np.ndarray:
     return width  # at least one more than each selector's bits that are too few
 
 
+#: The widths of values below 2**16.
+_SMALL = _compared(np.arange(1 << 16), (1 << 16) - 1)
+
+
 def _selectors(width: np.ndarray) -> np.ndarray:
     """The selector with the most values that fit, for a word that would begin at each place of each lane."""
     tables, length = {1: width}, 1
@@ -51,10 +61,29 @@ def _selectors(width: np.ndarray) -> np.ndarray:
             later = highest.copy()
             later[:, :-shift] = highest[:, shift:]
             highest = np.maximum(highest, later)
-        best[highest <= bits] = selector
+        np.copyto(best, selector, where=highest <= bits)
     return best
 
 
+def _word_starts(selectors: np.ndarray) -> np.ndarray:
+    """Where words begin if each starts behind the one before, as ascending places in lanes of one place more, their end.
+
+    The first words are known; a step of twice as many words, from all that are known, finds as many again.
+    """
+    lanes = len(selectors)
+    ahead = np.full((lanes, LANE + 1), LANE, np.int32)
+    np.minimum(COUNTS.astype(np.int32)[selectors] + np.arange(LANE, dtype=np.int32), LANE, out=ahead[:, :LANE])
+    first = np.arange(lanes, dtype=np.int32)[:, None] * (LANE + 1)
+    ahead = (ahead + first).ravel()
+    known = [first.ravel()]
+    while len(found := ahead[np.concatenate(known)]) and (found % (LANE + 1) != LANE).any():
+        known.append(found)
+        ahead = ahead[ahead]
+    reached = np.zeros(len(ahead), bool)
+    reached[np.concatenate(known)] = True
+    return np.flatnonzero(reached)
+
+
 def pack(values: np.ndarray) -> bytes:
     """One block for any number of unsigned integers below 2**64."""
     values = np.asarray(values, np.uint64)
@@ -69,16 +98,9 @@ def pack(values: np.ndarray) -> bytes:
     if lanes:
         sizes[-1] = len(values) - (lanes - 1) * LANE
     selectors = _selectors(_widths(grid))[:, :LANE]
-    at, live, found = np.zeros(lanes, np.int64), np.arange(lanes), []
-    while len(live):
-        place = at[live]
-        chosen = selectors[live, place]
-        found.append((live, place, chosen))
-        at[live] = place + COUNTS[chosen]
-        live = live[at[live] < sizes[live]]
-    lane, place, chosen = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in range(3))
-    order = np.argsort(lane, kind="stable")
-    lane, place, chosen = lane[order], place[order], chosen[order].astype(np.int64)
+    place = _word_starts(selectors)
+    lane, place = np.divmod(place[place % (LANE + 1) < sizes[place // (LANE + 1)]], LANE + 1)
+    chosen = selectors[lane, place].astype(np.int64)
     words = chosen.astype(np.uint64) << np.uint64(60)
     for selector in np.unique(chosen):
         if BITS[selector]:

@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from patronage.llm import simple8b, token_files
+from patronage.llm import pieces, simple8b, token_files
 from test_bpe import HARD, some_texts
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -63,3 +63,36 @@ def test_special_tokens_are_those_of_the_unchanged_library(spark):
     assert want[0][2] == 4
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert sorted(tuple(r) for r in token_files.write_and_read(spark, docs, PATH, 2, special=True).collect()) == want
+
+
+def test_words_begin_where_one_after_the_other_says():
+    source = np.random.default_rng(3)
+    selectors = source.integers(0, 16, (40, simple8b.LANE)).astype(np.uint8)
+    selectors[0], selectors[1], selectors[2] = 15, 0, 1
+    want = []
+    for lane, chosen in enumerate(selectors.tolist()):
+        at = 0
+        while at < simple8b.LANE:
+            want.append(lane * (simple8b.LANE + 1) + at)
+            at += int(simple8b.COUNTS[chosen[at]])
+    found = simple8b._word_starts(selectors)
+    assert found[found % (simple8b.LANE + 1) != simple8b.LANE].tolist() == want
+    assert simple8b._word_starts(selectors[:0]).tolist() == []
+
+
+def test_pieces_that_come_back_after_a_million_others_are_not_encoded_again():
+    memory, asked = pieces.Memory(), []
+
+    def compute(keys):
+        asked.extend(keys)
+        return [key.encode() for key in keys]
+
+    long = "x" * 65
+    for begin in range(0, 1_000_000, 100_000):
+        keys = [" first", *(f" {k}" for k in range(begin, begin + 100_000)), long]
+        assert memory.fill(keys, compute) == [key.encode() for key in keys]
+        if not begin:
+            memory.fill([f" early{k}" for k in range(10)], compute)
+    memory.fill([f" early{k}" for k in range(10)], compute)
+    assert asked.count(" first") == 1 and asked.count(" early3") == 1
+    assert asked.count(long) == 10 and long not in memory.young
