@@ -27,7 +27,7 @@ from patronage.llm.pieces import Memory, encode_slice, gather, id_lists, small
 
 LONG_WORD = 48
 WORDS = 20_000
-REMEMBER = 200_000
+REMEMBER = 600_000
 #: What DuckDB may hold in a Python worker; beyond it, it spills to the worker's own temporary folder.
 MEMORY = "512MB"
 _MASK = (1 << 32) - 1

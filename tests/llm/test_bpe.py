@@ -85,3 +85,17 @@ def test_values_are_gathered_without_an_index_for_each_item():
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(data) == 10_000_000 and most < 2 * len(data)
+
+
+def test_words_that_come_back_after_a_million_others_are_not_merged_again():
+    tool = bpe.Coder({bytes([b]): b for b in range(256)}, public_tokenizers.PATTERN)
+    asked = []
+
+    def compute(keys):
+        asked.extend(keys)
+        return [b""] * len(keys)
+
+    for begin in range(0, 1_000_000, 100_000):
+        tool.pieces.fill([f" {k}" for k in range(begin, begin + 100_000)], compute)
+    tool.pieces.fill([" 7", " 99999", " 600000"], compute)
+    assert len(asked) == len(set(asked)) == 1_000_000
