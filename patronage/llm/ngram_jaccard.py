@@ -18,7 +18,8 @@ frequent decides only how much work there is, never which links are found.
 Equal sets are one node. Sets that share an index entry are first linked to one of them only
 (the entry's pivot). Entries that lie within one component are done; in the others, nodes are compared
 with pivots of other components, drawn anew each round for each of ``PIVOTS`` classes of entries, as long as that finds links. Each round compares at
-most ``PIVOTS`` pairs for each node. Only what then remains between components is paired. Of these pairs, sizes and bit sketches rule out most before they are given out: a
+most ``PIVOTS`` pairs for each node. Only what then remains between components is paired, and what a
+task meets in several entries is added up before it is given out. Of these pairs, sizes and bit sketches rule out most before they are given out: a
 sketch flips one bit for each token, so two sketches differ in no more bits than the sets differ in
 tokens. Every pair that is left is compared by the whole sets. These are worked out again for the nodes of
 the pairs at hand, from one document each; the sets of all nodes are never written or exchanged.
@@ -41,6 +42,9 @@ SLOT_BITS = 16
 LEAST_FREQUENT = 64
 SKETCH = 8
 PAIRS = 200_000
+#: Pairs a task holds to add up, and over how many groups the entries with one lowest component are dealt.
+HELD = 1_000_000
+SALT = 4
 ROUNDS = 6
 PIVOTS = 3
 MIXED = (1 << 31) - 1
@@ -207,7 +211,8 @@ def _grouped(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[li
             now = [np.concatenate((h, c)) for h, c in zip(held, now)]
         if not len(now[0]):
             continue
-        cut = int(np.searchsorted(now[0], now[0][-1], "left"))
+        other = np.flatnonzero(now[0] != now[0][-1])
+        cut = int(other[-1]) + 1 if len(other) else 0
         held = [c[cut:] for c in now]
         if cut:
             yield [c[:cut] for c in now]
@@ -228,8 +233,37 @@ def _shared_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([pa.array(c[kept]) for c in (entry, fp, info, fp[pivot], info[pivot])], ["entry", "fp", "info", "pivot", "pivot_info"])
 
 
+def _counted(parts: list[tuple]) -> tuple[np.ndarray, ...]:
+    """The distinct pairs (a, b, a_info, b_info) of the parts, and the sum of their n."""
+    a, b, a_info, b_info, n = (np.concatenate(c) for c in zip(*parts))
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
+    return a[first], b[first], a_info[order][first], b_info[order][first], np.add.reduceat(n[order], first)
+
+
 def _cross_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of nodes of one entry that are in different components, and whose sizes and sketches do not rule out a link."""
+    """Pairs of nodes of one entry that are in different components, and whose sizes and sketches do not rule out a link.
+
+    n is in how many entries a pair was met. Pairs are held up to ``HELD`` rows, so one that follows in
+    entry after entry is given out once.
+    """
+    held: list[tuple] = []
+    for part in _pairs_of_entries(batches, percent):
+        held.append(part)
+        if sum(len(h[0]) for h in held) > HELD:
+            held = [_counted(held)]
+            if 2 * len(held[0][0]) > HELD:
+                yield _pair_batch(held.pop())
+    if held:
+        yield _pair_batch(_counted(held))
+
+
+def _pair_batch(columns: tuple) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "a_info", "b_info", "n"])
+
+
+def _pairs_of_entries(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[tuple]:
     for entry, fp, info, label, *bits in _grouped(batches, ["entry", "fp", "info", "label", *_BITS]):
         order = np.lexsort((label, entry))
         entry, fp, info, label = (c[order] for c in (entry, fp, info, label))
@@ -258,7 +292,7 @@ def _cross_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa
             if len(kept):
                 a, b = a[kept], b[kept]
                 a, b = np.where(fp[a] < fp[b], a, b), np.where(fp[a] < fp[b], b, a)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (fp[a], fp[b], info[a], info[b])], ["a", "b", "a_info", "b_info"])
+                yield fp[a], fp[b], info[a], info[b], np.ones(len(a), np.int64)
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int, wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -340,8 +374,8 @@ def link(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80
         labels = components(spark, links)
         labelled = entries.join(labels, entries.fp == labels.node, "left").select("entry", "fp", "info", F.coalesce("component", "fp").alias("label"))
         labelled = stored(spark, labelled, name)
-        several = labelled.groupBy("entry").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("entry")
-        out = stored(spark, labelled.join(several, "entry", "left_semi"), name)
+        several = labelled.groupBy("entry").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("entry", "low")
+        out = stored(spark, labelled.join(several, "entry"), name)
         forget(spark, labelled)
         return out
 
@@ -365,11 +399,12 @@ def link(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80
         links = links.union(found)
         before, rest = rest, between(rest.select("entry", "fp", "info"), links, "open")
         forget(spark, before)
-    # last, all that index entries still hold of different components
+    # last, all that index entries still hold of different components; entries of the same documents mostly have one lowest component, so they meet
     sketch = nodes.where("fp <> 0").groupBy("fp").agg(*(F.max(c).alias(c) for c in _BITS))
-    rest = rest.join(sketch, "fp").repartition("entry").sortWithinPartitions("entry", "fp")
-    pairs = rest.mapInArrow(lambda it: _cross_pairs(it, percent), "a long, b long, a_info long, b_info long")
-    pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("n"), F.max("a_info").alias("a_info"), F.max("b_info").alias("b_info"))
+    rest = rest.withColumn("salt", F.pmod(F.xxhash64("entry"), F.lit(SALT)))
+    rest = rest.join(sketch, "fp").repartition("low", "salt").sortWithinPartitions("low", "salt", "entry", "fp")
+    pairs = rest.mapInArrow(lambda it: _cross_pairs(it, percent), "a long, b long, a_info long, b_info long, n long")
+    pairs = pairs.groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("a_info").alias("a_info"), F.max("b_info").alias("b_info"))
     pairs = pairs.where(F.col("n") >= _needed("a_info", "b_info")).select("a", "b").join(tried, ["a", "b"], "left_anti")
     more = verified(stored(spark, pairs, "pairs"))
     # components of nodes, named by the smallest doc_id of a node's documents

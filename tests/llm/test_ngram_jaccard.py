@@ -1,10 +1,15 @@
+import glob
 import os
 import random
+import time
 
+import pyarrow as pa
 import pytest
 
 import plain
 from patronage.llm import ngram_jaccard, shared
+from patronage.llm.shared import components, stored
+from patronage.session import shared_dir
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -112,3 +117,47 @@ def test_only_sets_of_pairs_are_written_and_tables_are_deleted(spark, monkeypatc
     assert sum(written) < 50, written
     for name in ("sets", "ids", "entries"):
         assert paths[name] and not any(map(os.path.exists, paths[name])), name
+
+
+def entry_rows(entries, nodes):
+    """Rows of index entries, each with all ``nodes`` (fp, label, sketch word)."""
+    rows = [(entry, fp, 100 << 32 | 1, label, *[word] * ngram_jaccard.SKETCH) for entry in entries for fp, label, word in nodes]
+    names = ["entry", "fp", "info", "label", *ngram_jaccard._BITS]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names)
+
+
+def test_a_pair_met_in_many_entries_is_given_out_once(monkeypatch):
+    nodes = [(1, 1, 0), (2, 1, 0), (3, 3, 0), (4, 4, 0)]
+    parts = [entry_rows(range(a, a + 5), nodes) for a in (100, 50, 0)]  # entries need not ascend
+    for held in (1_000_000, 7):
+        monkeypatch.setattr(ngram_jaccard, "HELD", held)
+        out = [row for batch in ngram_jaccard._cross_pairs(iter(parts), 80) for row in batch.to_pylist()]
+        sums = {}
+        for row in out:
+            sums[row["a"], row["b"]] = sums.get((row["a"], row["b"]), 0) + row["n"]
+        assert sums == {pair: 15 for pair in [(1, 3), (1, 4), (2, 3), (2, 4), (3, 4)]}
+        assert held == 7 or len(out) == 5
+    assert list(ngram_jaccard._cross_pairs(iter([]), 80)) == []
+
+
+def shared_folders(spark, name):
+    return set(glob.glob(f"{shared_dir(spark).removeprefix('file://').rstrip('/')}/{name}-*"))
+
+
+def test_tables_of_components_and_shuffle_files_go_when_nothing_reads_them(spark):
+    def shuffled():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(k).getName() for k in range(files.size()) if files.apply(k).getName().startswith("shuffle_")}
+
+    before, kept = shuffled(), shared_folders(spark, "edges")
+    chain = spark.range(40).selectExpr("id AS a", "id + 1 AS b").repartition(5)
+    found = components(spark, chain)
+    assert {(r.node, r.component) for r in found.collect()} == {(k, 0) for k in range(41)}
+    assert len(shared_folders(spark, "edges") - kept) == 1
+    before = shuffled()
+    stored(spark, chain.groupBy("a").count(), "shuffled")
+    for _ in range(50):
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before
