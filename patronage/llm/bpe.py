@@ -24,6 +24,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from patronage.llm.pieces import Memory, encode_slice, gather, id_lists, small
+from patronage.llm.text import give_back
 
 LONG_WORD = 48
 WORDS = 20_000
@@ -212,6 +213,7 @@ def release() -> None:
             tool.connection.close()
         _coders.clear()
     gc.collect()
+    give_back()
 
 
 def _schema(docs: DataFrame, more: str, without: tuple[str, ...] = ()) -> str:

@@ -2,6 +2,7 @@ import hashlib
 import os
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -67,3 +68,14 @@ def test_tokens(steps):
     for r in steps["benchmark_decontamination"]:
         assert list(found[r.doc_id].ids) == own.encode_ordinary(r.text or "")
         assert found[r.doc_id].decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
+
+
+def test_a_worker_gives_memory_back_when_its_texts_are_read(monkeypatch):
+    from patronage.llm import text
+
+    calls = []
+    monkeypatch.setattr(text, "give_back", lambda: calls.append(1))
+    batch = pa.RecordBatch.from_pydict({"text": ["some words", None, ""]})
+    read = text.slices(iter([batch, batch]))
+    assert next(read)[0].num_rows == 3 and not calls
+    assert len(list(read)) == 1 and calls == [1]
