@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from patronage.llm.shared import bitmap, components, forget, in_bitmap, stored
+from patronage.llm.shared import components, forget, in_bitmap, stored
 from patronage.llm.text import mix, shingle_sets, slices, texts
 
 CELL_BITS = 22
@@ -295,11 +295,9 @@ def _pairs_of_entries(batches: Iterator[pa.RecordBatch], percent: int) -> Iterat
                 yield fp[a], fp[b], info[a], info[b], np.ones(len(a), np.int64)
 
 
-def _sets(batches: Iterator[pa.RecordBatch], width: int, wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for hashes, fresh in _new_sets(batches, width):
-        names = np.array([name for name, _, _ in fresh], np.int64)
-        rows = [fresh[k] for k in np.flatnonzero(in_bitmap(wanted, names))] if len(names) else []
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([hashes[a:b].tobytes() for _, a, b in rows], pa.binary())], ["fp", "tokens"])
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in fresh], pa.int64()), pa.array([hashes[a:b].tobytes() for _, a, b in fresh], pa.binary())], ["fp", "tokens"])
 
 
 def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -312,7 +310,7 @@ def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
             common = int((both[1:] == both[:-1]).sum())
             keep[k] = 100 * common >= percent * (len(both) - common)
         mask = pa.array(keep)
-        yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], ["a", "b"])
+        yield pa.RecordBatch.from_arrays([batch.column("x").filter(mask), batch.column("y").filter(mask)], ["a", "b"])
 
 
 def _needed(left: str, right: str):
@@ -347,66 +345,69 @@ def link(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80
 
     def sets_of(ends: DataFrame) -> DataFrame:
         """fp and tokens of the nodes in ``ends`` (fp), each from the text of its smallest doc_id."""
-        wanted = spark.sparkContext.broadcast(bitmap(ends, 24))
         ids = stored(spark, first.join(ends, "fp", "left_semi").select(F.col("doc").alias("doc_id")), "ids")
-        sets = docs.join(ids, "doc_id", "left_semi").select("text").mapInArrow(lambda it: _sets(it, width, wanted.value), "fp long, tokens binary")
+        sets = docs.join(ids, "doc_id", "left_semi").select("text").mapInArrow(lambda it: _sets(it, width), "fp long, tokens binary")
         out = stored(spark, sets.dropDuplicates(["fp"]).join(ends, "fp", "left_semi"), "sets")
         forget(spark, ids)
         return out
 
     def verified(pairs: DataFrame) -> DataFrame:
+        """Ends (a, b) of the edges that the pairs (a, b, x, y) stand for whose nodes a and b link: their x and y."""
         sets = sets_of(pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct())
         joined = pairs.join(sets.select(F.col("fp").alias("a"), F.col("tokens").alias("left")), "a").join(sets.select(F.col("fp").alias("b"), F.col("tokens").alias("right")), "b")
-        links = stored(spark, joined.select("a", "b", "left", "right").mapInArrow(lambda it: _linked(it, percent), "a long, b long"), "links")
+        links = stored(spark, joined.select("x", "y", "left", "right").mapInArrow(lambda it: _linked(it, percent), "a long, b long"), "links")
         forget(spark, sets)
         return links
 
-    def best_pivots(shared: DataFrame, most: int) -> DataFrame:
-        """Pairs (a, b) of each node and the ``most`` pivots that it shares the most entries with, of those that may link."""
-        star = shared.groupBy("fp", "pivot").agg(F.count("*").alias("n"), F.max("info").alias("info"), F.max("pivot_info").alias("pivot_info"))
+    def best_pivots(shared: DataFrame, most: int, tried: DataFrame | None = None) -> DataFrame:
+        """Pairs (a, b) of each node and the ``most`` pivots that it shares the most entries with, of those that may link; x and y are their labels."""
+        labels = [F.max(c).alias(c) for c in ("label", "pivot_label")]
+        star = shared.groupBy("fp", "pivot").agg(F.count("*").alias("n"), F.max("info").alias("info"), F.max("pivot_info").alias("pivot_info"), *labels)
         sizes = [F.shiftright(c, 32) for c in ("info", "pivot_info")]
         star = star.where((F.col("n") * 2 * most >= _needed("info", "pivot_info")) & (100 * F.least(*sizes) >= percent * F.greatest(*sizes)))
+        star = star.withColumns({"a": F.least("fp", "pivot"), "b": F.greatest("fp", "pivot"), "x": F.least("label", "pivot_label"), "y": F.greatest("label", "pivot_label")})
+        if tried is not None:
+            star = star.join(tried, ["a", "b"], "left_anti")
         place = F.row_number().over(Window.partitionBy("fp").orderBy(F.desc("n"), F.desc("pivot")))
-        return star.withColumn("place", place).where(F.col("place") <= most).select(F.col("fp").alias("a"), F.col("pivot").alias("b"))
-
-    def between(entries: DataFrame, links: DataFrame, name: str) -> DataFrame:
-        """Rows of the entries that hold nodes of several components, with the node's component as label."""
-        labels = components(spark, links)
-        labelled = entries.join(labels, entries.fp == labels.node, "left").select("entry", "fp", "info", F.coalesce("component", "fp").alias("label"))
-        labelled = stored(spark, labelled, name)
-        several = labelled.groupBy("entry").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("entry", "low")
-        out = stored(spark, labelled.join(several, "entry"), name)
-        forget(spark, labelled)
-        return out
-
-    # first, each node with the first node of its entries
-    pairs = stored(spark, best_pivots(common.where("fp <> pivot"), 1), "pairs")
-    links = verified(pairs)
-    rest = between(common, links, "open")
+        return star.withColumn("place", place).where(F.col("place") <= most).select("a", "b", "x", "y").distinct()
+
+    def between(entries: DataFrame, merged: DataFrame, turn: int) -> DataFrame:
+        """Rows of the entries (entry, fp, info, label) that hold nodes of several components, with their component as label.
+
+        ``merged`` (node, component) says what labels become. Each entry has a pivot, drawn anew each ``turn``.
+        """
+        labelled = entries.join(merged, entries.label == merged.node, "left").select("entry", "fp", "info", F.coalesce("component", "label").alias("label"))
+        drawn = F.min_by(F.struct("fp", "info", "label"), F.struct(F.xxhash64("fp", F.lit(turn), F.pmod("entry", F.lit(PIVOTS))), "fp"))
+        entry = Window.partitionBy("entry")
+        several = labelled.withColumns({"low": F.min("label").over(entry), "high": F.max("label").over(entry), "drawn": drawn.over(entry)}).where("low < high")
+        pivot = [F.col(f"drawn.{c}").alias(d) for c, d in (("fp", "pivot"), ("info", "pivot_info"), ("label", "pivot_label"))]
+        return stored(spark, several.select("entry", "fp", "info", "label", "low", *pivot), "open")
+
+    # first, each node with the first node of its entries; a node is its own component so far
+    pairs = stored(spark, best_pivots(common.where("fp <> pivot").withColumns({"label": F.col("fp"), "pivot_label": F.col("pivot")}), 1), "pairs")
+    merged = components(spark, verified(pairs))
+    links = merged.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    rest = between(common.select("entry", "fp", "info", F.col("fp").alias("label")), merged, 0)
     forget(spark, common)
-    # then, with pivots of other components, drawn anew each round; a failed pair is not tried again
-    tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    # then, with pivots of other components; a failed pair is not tried again. Links found are edges between components, and only these are worked on
+    tried = pairs.select("a", "b")
     for turn in range(ROUNDS):
-        drawn = F.min_by(F.struct("fp", "info", "label"), F.struct(F.xxhash64("fp", F.lit(turn), F.pmod("entry", F.lit(PIVOTS))), "fp")).alias("drawn")
-        pivots = rest.groupBy("entry").agg(drawn).select("entry", *(F.col(f"drawn.{c}").alias(d) for c, d in (("fp", "pivot"), ("info", "pivot_info"), ("label", "pivot_label"))))
-        shared = rest.join(pivots, "entry").where("label <> pivot_label").select(F.least("fp", "pivot").alias("a"), F.greatest("fp", "pivot").alias("b"), "fp", "info", "pivot", "pivot_info")
-        pairs = best_pivots(shared.join(tried, ["a", "b"], "left_anti"), PIVOTS)
-        pairs = stored(spark, pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+        pairs = stored(spark, best_pivots(rest.where("label <> pivot_label"), PIVOTS, tried), "pairs")
         found = verified(pairs)
-        tried = tried.union(pairs)
+        tried = tried.union(pairs.select("a", "b"))
         if found.isEmpty():
             break
         links = links.union(found)
-        before, rest = rest, between(rest.select("entry", "fp", "info"), links, "open")
+        before, rest = rest, between(rest.select("entry", "fp", "info", "label"), components(spark, found), turn + 1)
         forget(spark, before)
     # last, all that index entries still hold of different components; entries of the same documents mostly have one lowest component, so they meet
     sketch = nodes.where("fp <> 0").groupBy("fp").agg(*(F.max(c).alias(c) for c in _BITS))
-    rest = rest.withColumn("salt", F.pmod(F.xxhash64("entry"), F.lit(SALT)))
+    rest = rest.select("entry", "fp", "info", "label", "low").withColumn("salt", F.pmod(F.xxhash64("entry"), F.lit(SALT)))
     rest = rest.join(sketch, "fp").repartition("low", "salt").sortWithinPartitions("low", "salt", "entry", "fp")
     pairs = rest.mapInArrow(lambda it: _cross_pairs(it, percent), "a long, b long, a_info long, b_info long, n long")
     pairs = pairs.groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("a_info").alias("a_info"), F.max("b_info").alias("b_info"))
     pairs = pairs.where(F.col("n") >= _needed("a_info", "b_info")).select("a", "b").join(tried, ["a", "b"], "left_anti")
-    more = verified(stored(spark, pairs, "pairs"))
+    more = verified(stored(spark, pairs.select("a", "b", F.col("a").alias("x"), F.col("b").alias("y")), "pairs"))
     # components of nodes, named by the smallest doc_id of a node's documents
     edges = links.union(more)
     edges = edges.join(first.select(F.col("fp").alias("a"), F.col("doc").alias("x")), "a").join(first.select(F.col("fp").alias("b"), F.col("doc").alias("y")), "b")

@@ -161,3 +161,27 @@ def test_tables_of_components_and_shuffle_files_go_when_nothing_reads_them(spark
             break
         time.sleep(0.1)
     assert not shuffled() - before
+
+
+def test_components_writes_stars_once_and_later_rounds_work_on_components_only(spark, monkeypatch):
+    writes, given = [], []
+
+    def noting(session, table, name):
+        writes.append(name)
+        return stored(session, table, name)
+
+    monkeypatch.setattr(shared, "stored", noting)
+    stars = spark.createDataFrame([(c, c + k) for c in (1, 100) for k in range(1, 9)], "a long, b long")
+    assert {(r.node, r.component) for r in components(spark, stars).collect()} == {(c + k, c) for c in (1, 100) for k in range(9)}
+    assert len(writes) == 1, writes
+
+    def counting(session, edges):
+        given.append(edges.count())
+        return components(session, edges)
+
+    monkeypatch.setattr(ngram_jaccard, "components", counting)
+    text = [f"w{k}" for k in range(400)]
+    rows = [(k, " ".join([f"v{k}" if j == 7 * k else w for j, w in enumerate(text)])) for k in range(40)]
+    found = {r.component_id for r in ngram_jaccard.link(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {0}
+    assert all(n < given[0] for n in given[1:-1]), given
