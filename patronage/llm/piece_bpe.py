@@ -7,7 +7,7 @@ What is left when the agenda is empty are the pieces; a character that is no pie
 
 A pair of characters that stands in no piece can never be inside a symbol, so a text may be cut there
 without any change: here before runs of marks and at the edges of runs of punctuation, where the
-vocabulary allows it. Each distinct part is then worked on once per task, within a bounded memory.
+vocabulary allows it. Each distinct part is then worked on once per Python worker, within a bounded memory.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType, Stru
 from patronage.llm.pieces import Memory, id_lists, small
 
 MARK = "▁"
-REMEMBER = 150_000
+#: Parts that a half of a worker's memory holds.
+REMEMBER = 600_000
 SLICE_BYTES = 2 << 20
 FEW = 40
 NEVER = float("inf")
@@ -231,6 +232,18 @@ def read_model(path: str) -> bytes:
         return file.read()
 
 
+_tools: dict[bytes, tuple[Vocabulary, Memory]] = {}
+
+
+def tool(model: bytes) -> tuple[Vocabulary, Memory]:
+    """The vocabulary of a model and the parts worked on so far, of this Python worker: made once, and kept from task to task for the last model."""
+    key = hashlib.sha256(model).digest()
+    if key not in _tools:
+        _tools.clear()
+        _tools[key] = Vocabulary(model), Memory(REMEMBER)
+    return _tools[key]
+
+
 def _schema(docs: DataFrame, name: str, kind: DataType) -> StructType:
     return StructType(list(docs.schema.fields)).add(name, kind)
 
@@ -259,7 +272,7 @@ def encode(spark: SparkSession, docs: DataFrame, path: str, ends: bool = True, c
     docs = docs.drop("ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, memory = Vocabulary(model.value), Memory(REMEMBER)
+        vocabulary, memory = tool(model.value)
         for batch in small(batches, "text", SLICE_BYTES):
             found = _rows_of_ids(vocabulary, batch, memory, ends, check)
             edges = np.concatenate(([0], np.cumsum([len(x) // 4 for x in found]))).astype(np.int64)
@@ -274,7 +287,7 @@ def decode(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
     rows = rows.drop("decoded")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(model.value)
+        vocabulary, _ = tool(model.value)
         for batch in batches:
             lists = batch.column("ids")
             texts = [vocabulary.decode(np.asarray(x.values, np.int64)) if x.is_valid else b"" for x in lists]
@@ -293,7 +306,7 @@ def digests(spark: SparkSession, docs: DataFrame, path: str, check: bool = True)
     docs = docs.select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, memory = Vocabulary(model.value), Memory(REMEMBER)
+        vocabulary, memory = tool(model.value)
         for batch in small(batches, "text", SLICE_BYTES):
             found = _rows_of_ids(vocabulary, batch, memory, True, check)
             decoded = [vocabulary.decode(np.frombuffer(ids, "<u4").astype(np.int64)) for ids in found]

@@ -93,3 +93,12 @@ def test_other_vocabularies_are_refused():
     raw = piece_bpe.read_model(PATH)
     with pytest.raises(ValueError):  # removes white space: one flag of the normaliser's settings changed
         piece_bpe.Vocabulary(raw.replace(b"\x12\x00\x18\x01 \x00", b"\x12\x00\x18\x01 \x01"))
+
+
+def test_parts_are_known_from_one_task_to_the_next(monkeypatch):
+    model = piece_bpe.read_model(PATH)
+    vocabulary, memory = piece_bpe.tool(model)
+    first = vocabulary.encode(["known parts, again"], memory)
+    again, kept = piece_bpe.tool(bytes(bytearray(model)))
+    monkeypatch.setattr(again, "pieces", lambda text: pytest.fail("worked on twice"))
+    assert again.encode(["known parts, again"], kept) == first
