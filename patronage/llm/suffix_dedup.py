@@ -277,7 +277,7 @@ def spans(spark: SparkSession, docs: DataFrame, window: int = WINDOW) -> DataFra
     return found.groupBy("row_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
-def _cut(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], names: list[str], characters: bool) -> Iterator[pa.RecordBatch]:
     for batch in small(batches, "text"):
         data, offsets = texts(batch.column("text"))
         lists = batch.column("spans")
@@ -292,7 +292,8 @@ def _cut(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Rec
             np.add.at(marks, a, 1)
             np.add.at(marks, b, -1)
             gone = np.cumsum(marks[:-1]) > 0
-            kept.append(own[~gone].tobytes())
+            left = own[~gone].tobytes()
+            kept.append(left.decode("utf-8", "ignore").encode() if characters else left)
             removed.append(int(gone.sum()))
             count.append(int((gone & ~np.concatenate(([False], gone[:-1]))).sum()))
         yield pa.RecordBatch.from_arrays(
@@ -300,13 +301,14 @@ def _cut(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Rec
         )
 
 
-def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW, characters: bool = False) -> DataFrame:
     """``docs`` with kept (the bytes that stay), n_removed (bytes) and n_spans (maximal removed runs).
 
     A byte is removed if a string of ``window`` bytes that covers it also starts in a document with a
     smaller doc_id. A NULL text is empty; texts shorter than the window lose nothing. Rows with the
     same doc_id do not remove each other's bytes, and rows with a NULL doc_id neither remove nor
-    lose any. Columns named kept, n_removed or n_spans are replaced. Rows are kept one for one.
+    lose any. Columns named kept, n_removed or n_spans are replaced. Rows are kept one for one. With
+    ``characters``, what is left of a character that is cut in two is not in kept, which is valid UTF-8 then.
     """
     docs = docs.drop("kept", "n_removed", "n_spans", "row_id", "spans")
     names = docs.columns
@@ -327,4 +329,4 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW) -
     still = marked.where(~F.col("touched")).select(*names, *none)
     schema = ", ".join([*(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema), "kept binary, n_removed long, n_spans long"])
     joined = marked.where("touched").join(found, "row_id", "left").select(*names, F.coalesce("spans", F.array().cast(found.schema["spans"].dataType)).alias("spans"))
-    return still.union(joined.mapInArrow(lambda it: _cut(it, names), schema))
+    return still.union(joined.mapInArrow(lambda it: _cut(it, names, characters), schema))

@@ -1,5 +1,6 @@
 import hashlib
 import os
+import re
 
 import public_tokenizers
 import pyarrow as pa
@@ -79,3 +80,20 @@ def test_a_worker_gives_memory_back_when_its_texts_are_read(monkeypatch):
     read = text.slices(iter([batch, batch]))
     assert next(read)[0].num_rows == 3 and not calls
     assert len(list(read)) == 1 and calls == [1]
+
+
+def test_stages_hand_small_batches_to_one_python_worker_a_task(spark):
+    """Chained Python steps take a worker each, and an executor keeps them all."""
+    rows = [(k, "ä" * 30 + f"{k} " + "ö" * 30 * (k % 2), "en", "x", 0) for k in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    cut = corpus_pipeline.cut_repeated_passages(spark, docs, "")
+    assert set(re.findall(r"ArrowEvalPython \[(\w+)\(", cut._jdf.queryExecution().optimizedPlan().toString())) == {"touched"}
+    assert {r.doc_id: (r.text, r.n_chars) for r in cut.collect()}[2] == ("2 ", 2)
+    assert all(f.__wrapped__ for _, f in corpus_pipeline.STAGES)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    wide = spark.range(0, 100, 1, 1).selectExpr("repeat('x', 1000000) AS text")
+    assert max(r.n for r in wide.mapInArrow(sizes, "n long").collect()) < 2 * corpus_pipeline.BATCH_BYTES
